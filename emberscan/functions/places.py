@@ -21,5 +21,10 @@ def location_parts(location: Column) -> Column:
 
 
 def rounded_degrees(degrees: Column, places: int) -> Column:
-    """Half-even rounding; adding zero turns -0.0 into 0.0."""
-    return F.bround(degrees.cast("double"), places) + F.lit(0.0)
+    """Scale, round half to even, scale back, all in floating point.
+
+    Decimal rounding would settle ties the binary value does not have. Adding
+    zero turns -0.0 into 0.0.
+    """
+    scale = F.lit(float(10**places))
+    return F.rint(degrees.cast("double") * scale) / scale + F.lit(0.0)

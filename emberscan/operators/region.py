@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..constants import REJECT_REASON
 from ..functions.coerce import lenient_date, lenient_double, lenient_long
 from ..functions.keys import admin_name_key
+from ..session import materialise
 from .guards import require_unique
 from .spatial import build_cell_index, choose_cell_size, locate_points
 
@@ -63,9 +64,13 @@ def resolve_boundaries(boundaries: DataFrame, regencies: DataFrame) -> DataFrame
 
 
 def region_index(boundaries: DataFrame, regencies: DataFrame, cell_size: float | None = None) -> tuple[DataFrame, float]:
-    """Cell index with regency ids, and its cell size."""
+    """Cell index with regency ids, and its cell size.
+
+    The index is written out once: it is measured, then joined, often many times.
+    """
     size = cell_size or choose_cell_size(boundaries)
-    return build_cell_index(resolve_boundaries(boundaries, regencies), ["regency_id"], size), size
+    index = build_cell_index(resolve_boundaries(boundaries, regencies), ["regency_id"], size)
+    return materialise(index, "index"), size
 
 
 def attach_regency(

@@ -37,14 +37,14 @@ _SLACK = 1e-9
 # --- geometry as expressions -------------------------------------------------
 
 
-def boundary_edges(boundaries: DataFrame, id_col: str = "boundary_id") -> DataFrame:
+def boundary_edges(boundaries: DataFrame, *keep: str) -> DataFrame:
     """One row per ring vertex with its predecessor and successor: (px,py) (x,y) (nx,ny).
 
     The edge of the row runs from (x,y) to (nx,ny). Unclosed rings are closed.
     """
-    rings = boundaries.select(id_col, F.explode("rings").alias("ring")).where("size(ring) > 0")
+    rings = boundaries.select(*keep, F.explode("rings").alias("ring")).where("size(ring) > 0")
     return rings.select(
-        id_col,
+        *keep,
         F.explode(
             F.expr(
                 """transform(sequence(0, size(ring) - 1), i -> struct(
@@ -53,7 +53,7 @@ def boundary_edges(boundaries: DataFrame, id_col: str = "boundary_id") -> DataFr
                      ring[(i + 1) % size(ring)] as n))"""
             )
         ).alias("e"),
-    ).selectExpr(id_col, "e.p.x as px", "e.p.y as py", "e.v.x as x", "e.v.y as y", "e.n.x as nx", "e.n.y as ny")
+    ).selectExpr(*keep, "e.p.x as px", "e.p.y as py", "e.v.x as x", "e.v.y as y", "e.n.x as nx", "e.n.y as ny")
 
 
 def _cell(value: str, size: float) -> str:
@@ -117,73 +117,55 @@ def build_cell_index(
     cell_size: float,
     id_col: str = "boundary_id",
 ) -> DataFrame:
-    """(cell_row, cell_col, candidates): candidates carry payload, parity, flips, edges."""
-    key = id_col
-    corners = boundary_edges(boundaries, id_col)
-    in_row = corners.withColumn(
-        "cell_row",
-        F.expr(
-            f"explode(sequence({_cell('least(y, ny)', cell_size)}, {_cell('greatest(y, ny)', cell_size)}))"
-        ),
-    )
+    """(cell_row, cell_col, candidates): candidates carry payload, parity, flips, edges.
+
+    Edges meet per boundary and grid row, then rows are cut into cells; two
+    shuffles, and no group larger than one boundary's part of one row.
+    """
+    start = _cell("y", cell_size)
+    top = _cell("greatest(y, ny)", cell_size)
     first, last = _reach("x", "y", "nx", "ny", "cell_row", cell_size)
-    in_row = in_row.withColumn("first_col", F.expr(first)).withColumn("last_col", F.expr(last))
-
-    # Edges through a cell.
-    through = in_row.select(
-        key, "cell_row",
-        F.explode(F.sequence("first_col", "last_col")).alias("cell_col"),
-        F.expr(_northward("x", "y", "nx", "ny")).alias("edge"),
-        F.lit(None).cast("double").alias("flip"),
-    )
-    # A vertex whose two edges start in different columns: between those columns
-    # only one of the two is wholly east, so its latitude does not cancel.
-    own_row = _cell("y", cell_size)
-    after, _ = _reach("x", "y", "nx", "ny", own_row, cell_size)
-    before, _ = _reach("px", "py", "x", "y", own_row, cell_size)
-    flips = (
-        corners.select(key, "y", F.expr(own_row).alias("cell_row"), F.expr(after).alias("a"), F.expr(before).alias("b"))
-        .where("a <> b")
-        .select(
-            key, "cell_row",
-            F.explode(F.sequence(F.least("a", "b"), F.greatest("a", "b") - 1)).alias("cell_col"),
-            F.lit(None).cast("struct<x1:double,y1:double,x2:double,y2:double>").alias("edge"),
-            F.col("y").alias("flip"),
+    after, _ = _reach("x", "y", "nx", "ny", start, cell_size)
+    before, _ = _reach("px", "py", "x", "y", start, cell_size)
+    corners = boundary_edges(boundaries.withColumn("payload", F.struct(*payload)), id_col, "payload")
+    in_row = (
+        corners.selectExpr(
+            id_col, "payload", "x", "y", "nx", "ny", f"{top} as top", f"{start} as own_row",
+            f"{after} as after", f"{before} as before",
+            f"explode(sequence({_cell('least(y, ny)', cell_size)}, {top})) as cell_row",
         )
+        .withColumns({"first_col": F.expr(first), "last_col": F.expr(last)})
     )
-    local = through.unionByName(flips).groupBy(key, "cell_row", "cell_col").agg(
-        F.collect_list("edge").alias("edges"), F.collect_list("flip").alias("flips")
-    )
-    # Edges leaving the row through its northern border toggle every column west of them.
-    spans = in_row.groupBy(key, "cell_row").agg(
+    # `exits`: edges leaving the row northward toggle every column west of them.
+    # `flips`: a vertex whose two edges start in different columns; between those
+    # only one of them is wholly east, so the vertex's latitude does not cancel.
+    rows = in_row.groupBy(id_col, "cell_row").agg(
+        F.first("payload").alias("payload"),
         F.min("first_col").alias("west"),
         F.max("last_col").alias("east"),
         F.collect_list(
-            F.when(F.expr(f"cell_row < {_cell('greatest(y, ny)', cell_size)}"), F.col("first_col"))
-        ).alias("exits"),
+            F.struct("first_col", "last_col", F.expr(_northward("x", "y", "nx", "ny")).alias("edge"))
+        ).alias("edges"),
+        F.collect_list(F.when(F.col("cell_row") < F.col("top"), F.col("first_col"))).alias("exits"),
+        F.collect_list(
+            F.expr(
+                """case when cell_row = own_row and before <> after then
+                     named_struct('low', least(before, after), 'high', greatest(before, after), 'y', y) end"""
+            )
+        ).alias("flips"),
     )
-    cells = (
-        spans.select(key, "cell_row", "exits", F.explode(F.sequence("west", "east")).alias("cell_col"))
-        .select(key, "cell_row", "cell_col", F.expr("size(filter(exits, c -> c > cell_col)) % 2").alias("parity"))
-        .join(local, [key, "cell_row", "cell_col"], "left")
-        .where("parity = 1 or size(coalesce(edges, array())) > 0")
+    cells = rows.select(
+        "cell_row", "payload", "edges", "exits", "flips", F.explode(F.sequence("west", "east")).alias("cell_col")
+    ).selectExpr(
+        "cell_row", "cell_col", "payload",
+        "size(filter(exits, c -> c > cell_col)) % 2 as parity",
+        "transform(filter(flips, f -> f.low <= cell_col and cell_col < f.high), f -> f.y) as flips",
+        "transform(filter(edges, e -> cell_col between e.first_col and e.last_col), e -> e.edge) as edges",
     )
-    named = boundaries.select(key, F.struct(*payload).alias("payload"))
     return (
-        cells.join(named, key)
+        cells.where("parity = 1 or size(edges) > 0")
         .groupBy("cell_row", "cell_col")
-        .agg(
-            F.collect_list(
-                F.struct(
-                    "payload", "parity",
-                    F.coalesce("flips", F.expr("cast(array() as array<double>)")).alias("flips"),
-                    F.coalesce(
-                        "edges", F.expr("cast(array() as array<struct<x1:double,y1:double,x2:double,y2:double>>)")
-                    ).alias("edges"),
-                )
-            ).alias("candidates")
-        )
-        .withColumn("cell_size", F.lit(cell_size))
+        .agg(F.collect_list(F.struct("payload", "parity", "flips", "edges")).alias("candidates"))
     )
 
 
@@ -208,7 +190,6 @@ def _locate(
     strategy: str, hot_rows: int, max_rows: int, max_bytes: int,
 ) -> DataFrame:
     """Points with their `candidates` (null when their cell is empty)."""
-    index = index.drop("cell_size")
     keyed = points.withColumn("cell_row", F.expr(_cell(lat, cell_size))).withColumn(
         "cell_col", F.expr(_cell(lon, cell_size))
     )

@@ -50,3 +50,17 @@ def discover(
     if not found and not streaming:
         raise MissingSource(f"no batch object and no stream rows for {day}")
     return SourceReport(day, bool(found), found[0] if found else None, streaming)
+
+
+def day_sources(batch: DataFrame, stream: DataFrame) -> DataFrame:
+    """The same for every day at once: which days each source holds."""
+    days = batch.select(
+        F.col("acq_date").cast("date").alias("day"), F.lit(True).alias("batch"), F.lit(False).alias("stream")
+    ).unionByName(
+        stream.select(
+            F.col("acquisition_date").alias("day"), F.lit(False).alias("batch"), F.lit(True).alias("stream")
+        )
+    )
+    return days.where("day is not null").groupBy("day").agg(
+        F.bool_or("batch").alias("batch_exists"), F.bool_or("stream").alias("stream_exists")
+    )

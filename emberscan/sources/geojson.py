@@ -14,6 +14,7 @@ from ..functions.keys import admin_name_key
 from ..schemas import GEOJSON
 from . import lake
 
+FILES = "*.geojson"
 _POLYGON = "array<array<array<double>>>"
 _MULTI = "array<array<array<array<double>>>>"
 
@@ -33,13 +34,13 @@ def _rings(geometry_type: Column, coordinates: Column) -> Column:
     )
 
 
-def _features(spark: SparkSession, folder: str) -> DataFrame:
-    if not lake.glob(spark, f"{folder}/*.geojson"):
-        raise FileNotFoundError(f"no GeoJSON files in {folder}")
+def _features(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    if not lake.glob(spark, f"{folder}/{pattern}"):
+        raise FileNotFoundError(f"no {pattern} files in {folder}")
     return (
         spark.read.schema(GEOJSON)
         .option("multiLine", True)
-        .json(f"{folder}/*.geojson")
+        .json(f"{folder}/{pattern}")
         .select(
             F.input_file_name().alias("file"),
             F.coalesce("crs.properties.name", F.lit("EPSG:4326")).alias("crs"),
@@ -57,9 +58,9 @@ def _features(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def read_boundaries(spark: SparkSession, folder: str) -> DataFrame:
+def read_boundaries(spark: SparkSession, folder: str, pattern: str = FILES) -> DataFrame:
     """Features with a name and a geometry, with a stable id and the name key."""
-    return _features(spark, folder).where("WADMKK is not null and rings is not null").select(
+    return _features(spark, folder, pattern).where("WADMKK is not null and rings is not null").select(
         F.xxhash64("file", "position").alias("boundary_id"),
         "WADMKK",
         "WADMPR",
@@ -68,6 +69,23 @@ def read_boundaries(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def write_boundaries(boundaries: DataFrame, folder: str) -> None:
+    """Boundaries as feature collections of one feature, a file each. Open rings are closed."""
+
+    def closed(ring: Column) -> Column:
+        ends_meet = F.element_at(ring, 1) == F.element_at(ring, -1)
+        return F.when(ends_meet, ring).otherwise(F.array_append(ring, F.element_at(ring, 1)))
+
+    ring = F.transform("rings", lambda r: F.transform(closed(r), lambda p: F.array(p.x, p.y)))
+    feature = F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct("WADMKK", "WADMPR").alias("properties"),
+        F.struct(F.lit("Polygon").alias("type"), ring.alias("coordinates")).alias("geometry"),
+    )
+    collection = F.struct(F.lit("FeatureCollection").alias("type"), F.array(feature).alias("features"))
+    boundaries.select(F.to_json(collection)).write.mode("overwrite").option("maxRecordsPerFile", 1).text(folder)
+
+
 def _ring_is_sound(ring: Column) -> Column:
     closed = F.element_at(ring, 1) == F.element_at(ring, -1)
     in_range = F.forall(
@@ -76,14 +94,14 @@ def _ring_is_sound(ring: Column) -> Column:
     return F.when(F.size(ring) >= 4, closed & in_range).otherwise(F.lit(False))
 
 
-def profile_boundaries(spark: SparkSession, folder: str) -> DataFrame:
+def profile_boundaries(spark: SparkSession, folder: str, pattern: str = FILES) -> DataFrame:
     """Per file: features, geometry types, whether every ring is sound, CRS.
 
     Sound means closed, at least four vertices, all coordinates in range.
     """
     sound = F.coalesce(F.forall("rings", _ring_is_sound), F.lit(False))
     present = F.col("position").isNotNull()
-    return _features(spark, folder).groupBy("file").agg(
+    return _features(spark, folder, pattern).groupBy("file").agg(
         F.count_if(present).alias("rows"),
         F.array_sort(F.collect_set("geometry_type")).alias("geometry_types"),
         F.coalesce(F.bool_and(F.when(present, sound)), F.lit(True)).alias("all_valid"),
