@@ -24,18 +24,21 @@ def clock_time(acq_time: Column) -> Column:
     return F.when(acq_time.isNull(), F.lit(None).cast("string")).when(is_clock_time(acq_time), text).otherwise(problem)
 
 
-def moment(day: Column, time: Column) -> Column:
-    """Date and clock time as a zone-less timestamp."""
-    return F.concat_ws(" ", day.cast("string"), time).cast("timestamp_ntz")
+def _second_of_day(time: Column) -> Column:
+    def part(start: int) -> Column:
+        return F.substring(time, start, 2).cast("int")
+
+    return part(1) * 3600 + part(4) * 60 + part(7)
 
 
 def detection_datetime(day: Column, time: Column) -> Column:
-    return F.when(day.isNotNull() & time.isNotNull(), moment(day, time))
+    """Date and 'HH:mm:ss' as a zone-less timestamp, by arithmetic rather than parsing."""
+    return F.timestamp_add("SECOND", _second_of_day(time), day.cast("timestamp_ntz"))
 
 
-def as_utc(datetime_ntz: Column) -> Column:
-    """The zone-less value read as UTC, whatever the session zone is."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), datetime_ntz).cast("timestamp")
+def detection_timestamp(day: Column, time: Column) -> Column:
+    """The same moment read as UTC, whatever the session zone is."""
+    return F.timestamp_seconds(F.unix_date(day).cast("bigint") * 86400 + _second_of_day(time))
 
 
 def hour_of(time: Column) -> Column:

@@ -7,28 +7,34 @@ gives the same table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
 from ..sources import lake
-from .guards import broadcast_if_small, require_single_date, require_unique
+from .guards import broadcast_if_small, fits_broadcast, require_single_date, require_unique
 
 
 def unseen_rows(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Incoming rows whose key the target lacks (null keys are always unseen).
 
-    The target is usually far larger: its key column is first cut down to keys
-    that occur in the input, without a shuffle while those are few.
+    While the incoming keys are measurably few, the much larger target is cut
+    down to them by a broadcast, and what is left is no larger than they are:
+    neither side is shuffled. Otherwise it is a plain anti join.
     """
-    wanted = broadcast_if_small(incoming.select(key).distinct())
-    seen = target.select(key).join(wanted, key, "left_semi").distinct()
-    return incoming.join(seen, key, "left_anti")
+    wanted = incoming.select(key).distinct()
+    if not fits_broadcast(wanted):
+        return incoming.join(target.select(key), key, "left_anti")
+    seen = target.select(key).join(F.broadcast(wanted), key, "left_semi").distinct()
+    return incoming.join(F.broadcast(seen), key, "left_anti")
 
 
 def merged(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Target with incoming rows replacing or joining those of the same key."""
-    return target.join(incoming.select(key), key, "left_anti").unionByName(incoming)
+    replaced = broadcast_if_small(incoming.select(key))
+    return target.join(replaced, key, "left_anti").select(*incoming.columns).unionByName(incoming)
 
 
 def _dates(df: DataFrame, column: str) -> set:
@@ -105,14 +111,23 @@ def replace_date(spark: SparkSession, path: str, df: DataFrame, partition: str =
 
 
 def append_unseen(
-    spark: SparkSession, path: str, incoming: DataFrame, key: str, partition: str = "acquisition_date"
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    key: str,
+    partition: str = "acquisition_date",
+    prepare: Callable[[DataFrame], DataFrame] = lambda fresh: fresh,
 ) -> int:
-    """Append the rows whose key is new to the table, creating it if missing. Returns rows appended."""
+    """Append the rows whose key is new to the table, creating it if missing.
+
+    `prepare` runs on the new rows only. Returns rows appended.
+    """
     fresh = incoming
     if lake.has_table(spark, path):
         fresh = unseen_rows(incoming, spark.read.parquet(path), key)
-    staged = materialise(fresh, "append")
+    staged = materialise(prepare(fresh), "append")
     appended = staged.count()
     if appended:
-        lake.write_partitioned(staged, path, [partition], ["regency_id"] if "regency_id" in staged.columns else [], mode="append")
+        clustered = ["regency_id"] if "regency_id" in staged.columns else []
+        lake.write_partitioned(staged, path, [partition], clustered, mode="append")
     return appended

@@ -30,10 +30,9 @@ def quarantine(staged: DataFrame, at: Column | None = None) -> DataFrame:
 
 def _temporal_columns() -> dict[str, Column]:
     day, time = F.col("acquisition_date"), F.col("acquisition_time")
-    at = times.detection_datetime(day, time)
     return {
-        "detection_datetime": at,
-        "detection_timestamp": times.as_utc(at),
+        "detection_datetime": times.detection_datetime(day, time),
+        "detection_timestamp": times.detection_timestamp(day, time),
         "detection_year": F.year(day),
         "detection_month": F.month(day),
         "detection_day_of_week": F.dayofweek(day),

@@ -13,6 +13,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles methods above 8000 bytes of bytecode; wide
+    # projections fused beyond that would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

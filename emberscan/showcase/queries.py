@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import adapter
+from ..functions.places import location_parts
 from ..operators import audit, coordinates, incremental, quality
 from ..operators.region import (
     attach_regency,
@@ -20,8 +21,7 @@ from ..operators.region import (
 from ..operators.spatial import build_cell_index, locate_points
 from ..plans import intermediate, marts, staging, star
 from ..plans.declared_checks import DECLARED, GATES
-from ..session import apply_runtime_conf, scratch_path
-from ..functions.places import location_parts
+from ..session import apply_runtime_conf, materialise, scratch_path
 from ..sources import discovery, files, geojson, lake
 from ..streaming import events, jobs
 
@@ -95,6 +95,11 @@ def described(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intermediate.describe(staged(spark, sf_dir))
 
 
+def saved_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The described detections as the table they are in a warehouse: built once, read by many."""
+    return materialise(described(spark, sf_dir), "detections")
+
+
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.dim_location(
         staging.stage_regency(adapter.regencies(spark, sf_dir)),
@@ -107,7 +112,7 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart(spark: SparkSession, sf_dir: str, scope: Callable[[DataFrame], DataFrame] = lambda f: f) -> DataFrame:
-    detections = described(spark, sf_dir)
+    detections = saved_detections(spark, sf_dir)
     return marts.daily_detection(
         scope(star.fct_detection(detections)),
         star.dim_detection_classification(detections),
@@ -512,9 +517,8 @@ def unseen_events(spark, sf_dir):
 
 
 def _models(spark, sf_dir) -> dict[str, DataFrame]:
-    detections = described(spark, sf_dir)
+    detections = saved_detections(spark, sf_dir)
     return {
-        "stg_detection": staged(spark, sf_dir),
         "fct_detection": star.fct_detection(detections),
         "dim_location": locations(spark, sf_dir),
         "dim_satellite": star.dim_satellite(detections),
@@ -529,7 +533,7 @@ def _reported(models: dict[str, DataFrame], name: str) -> DataFrame:
 
 @query
 def quality_staging(spark, sf_dir):
-    return _reported(_models(spark, sf_dir), "stg_detection")
+    return quality.report(staged(spark, sf_dir), DECLARED["stg_detection"])
 
 
 @query

@@ -88,7 +88,6 @@ def to_stream_rows(events: DataFrame, ingested_at: Column | None = None) -> Data
     """Events as 31-column stream rows: typed, time-enriched and labelled."""
     day = F.col("acq_date").cast("date")
     time = times.clock_time(F.col("acq_time"))
-    at = times.detection_datetime(day, time)
     version = F.col("version")
     made = {
         "published_timestamp": F.col("published_timestamp").cast("timestamp"),
@@ -97,8 +96,8 @@ def to_stream_rows(events: DataFrame, ingested_at: Column | None = None) -> Data
         "acquisition_time": time,
         "brightness_temperature_t31": F.col("bright_t31"),
         "fire_radiative_power": F.col("frp"),
-        "detection_datetime": at,
-        "detection_timestamp": times.as_utc(at),
+        "detection_datetime": times.detection_datetime(day, time),
+        "detection_timestamp": times.detection_timestamp(day, time),
         "detection_year": F.year(day),
         "detection_month": F.month(day),
         "detection_day_of_week": F.dayofweek(day),

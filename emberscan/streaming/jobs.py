@@ -80,8 +80,10 @@ def enrich_unseen(
 ) -> int:
     """One pass over the raw table: enrich and append what is not yet enriched. Returns rows appended."""
     raw = spark.read.schema(STREAM_RAW).parquet(raw_path).select(*STREAM_RAW.names)
-    rows = enrich_rows(raw, index, cell_size, on_multiple)
-    return append_unseen(spark, enriched_path, rows, "event_id")
+    return append_unseen(
+        spark, enriched_path, raw, "event_id",
+        prepare=lambda fresh: enrich_rows(fresh, index, cell_size, on_multiple),
+    )
 
 
 def start_enrichment(
@@ -91,8 +93,10 @@ def start_enrichment(
     """The same as a stream over the raw table: each run reads only new files."""
 
     def handle(batch: DataFrame, _batch_id: int) -> None:
-        rows = enrich_rows(batch, index, cell_size, on_multiple)
-        append_unseen(batch.sparkSession, enriched_path, rows, "event_id")
+        append_unseen(
+            batch.sparkSession, enriched_path, batch, "event_id",
+            prepare=lambda fresh: enrich_rows(fresh, index, cell_size, on_multiple),
+        )
 
     writer = (
         spark.readStream.schema(STREAM_RAW).parquet(raw_path)
