@@ -11,7 +11,7 @@ from ..constants import REGENCY_ALIASES, SURROGATE_NULL
 
 
 def coordinate_text(col: Column) -> Column:
-    """Shortest round-trip text of a double, in the form both ingestion paths hash.
+    """Text of a coordinate in the form both ingestion paths hash.
 
     The JVM switches to scientific notation below 1e-3; the publishers only do
     so below 1e-4 and write the exponent with two digits. Points that close to

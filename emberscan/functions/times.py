@@ -46,9 +46,9 @@ def hour_of(time: Column) -> Column:
 
 
 def month_name(month: Column) -> Column:
-    return F.coalesce(F.element_at(F.array(*map(F.lit, MONTH_NAMES)), month), F.lit(TEXT_SENTINEL))
+    return F.coalesce(F.get(F.array(*map(F.lit, MONTH_NAMES)), month - 1), F.lit(TEXT_SENTINEL))
 
 
 def day_name(day_of_week: Column) -> Column:
     """Name for the Sunday = 1 weekday."""
-    return F.coalesce(F.element_at(F.array(*map(F.lit, DAY_NAMES)), day_of_week), F.lit(TEXT_SENTINEL))
+    return F.coalesce(F.get(F.array(*map(F.lit, DAY_NAMES)), day_of_week - 1), F.lit(TEXT_SENTINEL))
