@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from .. import storage
+from ..session import saved_copy
 from ..sources import lake
 from .guards import broadcast_if_small, fits_broadcast, require_single_date, require_unique
 
@@ -56,30 +57,32 @@ def upsert(
     partition: str = "acquisition_date",
     cluster_by: list[str] | None = None,
     key_pins_partition: bool = False,
+    saved: bool = False,
 ) -> int:
     """Merge by key; rows absent from the input stay. Returns partitions rewritten.
 
     A key may sit in another day than its new row, so by default the key column
     of the whole target is searched; `key_pins_partition` promises it cannot and
-    restricts the search to the incoming days.
+    restricts the search to the incoming days. The input is read several times:
+    it is written out first unless it is `saved`, that is cheap to read again.
     """
-    staged = materialise(incoming, "upsert")
-    if staged.isEmpty():
+    if not saved:
+        with saved_copy(incoming, "upsert") as copy:
+            return upsert(spark, path, copy, key, partition, cluster_by, key_pins_partition, saved=True)
+    arriving = _dates(incoming, partition)
+    if not arriving:
         return 0
-    require_unique(staged, key)
-    arriving = _dates(staged, partition)
-    if not lake.has_table(spark, path):
-        lake.write_partitioned(staged, path, [partition], cluster_by)
+    require_unique(incoming, key)
+    if not storage.has_table(spark, path):
+        lake.write_partitioned(incoming, path, [partition], cluster_by)
         return len(arriving)
-    target = spark.read.parquet(path).select(*staged.columns)
+    target = spark.read.parquet(path).select(*incoming.columns)
     touched = set(arriving)
     if not key_pins_partition:
-        keys = broadcast_if_small(staged.select(key))
+        keys = broadcast_if_small(incoming.select(key))
         touched |= _dates(target.select(key, partition).join(keys, key, "left_semi"), partition)
-    result = merged(target.where(_within(partition, touched)), staged, key)
-    emptied = set()
-    if touched - arriving:
-        emptied = touched - _dates(result, partition)
+    result = merged(target.where(_within(partition, touched)), incoming, key)
+    emptied = touched - _dates(result, partition) if touched - arriving else set()
     lake.write_partitioned(result, path, [partition], cluster_by, only_touched=True)
     lake.drop_partitions(spark, path, partition, emptied - {None})
     return len(touched)
@@ -98,16 +101,17 @@ def replace_date(spark: SparkSession, path: str, df: DataFrame, partition: str =
     The input must hold exactly one date. Rows without a date ride along and are
     appended to the undated partition. Empty input changes nothing.
     """
-    staged = materialise(df, "load")
-    if staged.isEmpty():
-        return 0
-    require_single_date(staged, partition)
-    dated = staged.where(F.col(partition).isNotNull())
-    lake.write_partitioned(dated, path, [partition], ["regency_id"] if "regency_id" in df.columns else [], only_touched=True)
-    undated = staged.where(F.col(partition).isNull())
-    if not undated.isEmpty():
-        lake.write_partitioned(undated, path, [partition], mode="append")
-    return staged.count()
+    clustered = ["regency_id"] if "regency_id" in df.columns else []
+    with saved_copy(df, "load") as copy:
+        loaded = copy.count()
+        if loaded:
+            require_single_date(copy, partition)
+            undated = copy.where(F.col(partition).isNull())
+            dated = copy.where(F.col(partition).isNotNull())
+            lake.write_partitioned(dated, path, [partition], clustered, only_touched=True)
+            if not undated.isEmpty():
+                lake.write_partitioned(undated, path, [partition], clustered, mode="append")
+        return loaded
 
 
 def append_unseen(
@@ -123,11 +127,11 @@ def append_unseen(
     `prepare` runs on the new rows only. Returns rows appended.
     """
     fresh = incoming
-    if lake.has_table(spark, path):
+    if storage.has_table(spark, path):
         fresh = unseen_rows(incoming, spark.read.parquet(path), key)
-    staged = materialise(prepare(fresh), "append")
-    appended = staged.count()
-    if appended:
-        clustered = ["regency_id"] if "regency_id" in staged.columns else []
-        lake.write_partitioned(staged, path, [partition], clustered, mode="append")
-    return appended
+    with saved_copy(prepare(fresh), "append") as copy:
+        appended = copy.count()
+        if appended:
+            clustered = ["regency_id"] if "regency_id" in copy.columns else []
+            lake.write_partitioned(copy, path, [partition], clustered, mode="append")
+        return appended

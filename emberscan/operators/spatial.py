@@ -57,7 +57,7 @@ def boundary_edges(boundaries: DataFrame, *keep: str) -> DataFrame:
 
 
 def _cell(value: str, size: float) -> str:
-    return f"cast(floor(({value}) / {size!r}d) as int)"
+    return f"try_cast(floor(({value}) / {size!r}d) as int)"
 
 
 def _reach(x1: str, y1: str, x2: str, y2: str, row: str, size: float) -> tuple[str, str]:
@@ -190,8 +190,12 @@ def _locate(
     strategy: str, hot_rows: int, max_rows: int, max_bytes: int,
 ) -> DataFrame:
     """Points with their `candidates` (null when their cell is empty)."""
-    keyed = points.withColumn("cell_row", F.expr(_cell(lat, cell_size))).withColumn(
-        "cell_col", F.expr(_cell(lon, cell_size))
+    number = f"not isnan({lat}) and not isnan({lon})"
+    keyed = points.withColumns(
+        {
+            "cell_row": F.expr(f"case when {number} then {_cell(lat, cell_size)} end"),
+            "cell_col": F.expr(f"case when {number} then {_cell(lon, cell_size)} end"),
+        }
     )
     keys = ["cell_row", "cell_col"]
     if strategy == "auto":
@@ -237,7 +241,7 @@ def locate_points(
     if on_multiple not in ("all", "first"):
         raise ValueError("on_multiple is 'all' or 'first'")
     payload = index.schema["candidates"].dataType.elementType["payload"].dataType.names
-    found = _locate(points, index, cell_size, lon, lat, strategy, hot_rows, max_rows, max_bytes)
+    found = _locate(points, index, cell_size, f"`{lon}`", f"`{lat}`", strategy, hot_rows, max_rows, max_bytes)
     hits = found.withColumn("_hits", _hits(f"`{lon}`", f"`{lat}`")).drop("candidates")
     if on_multiple == "first":
         lowest = f"""get(array_sort(_hits, (l, r) -> case

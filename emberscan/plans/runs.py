@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import storage
 from ..operators import incremental, quality
 from ..operators.region import attach_regency, normalise_types, rejected_points
 from ..schemas import STREAM_ENRICHED
@@ -43,7 +44,7 @@ def run_batch(
 ) -> discovery.SourceReport:
     """Discover the day's sources and load its batch detections with their regency."""
     stream_path = house.path(STREAM, "fire_detection_nrt_raw")
-    stream = spark.read.parquet(stream_path) if lake.has_table(spark, stream_path) else None
+    stream = spark.read.parquet(stream_path) if storage.has_table(spark, stream_path) else None
     found = discovery.discover(spark, lake_root, day, stream)
     if found.batch_exists:
         rows = spark.read.option("basePath", _table_root(found.batch_source)).parquet(found.batch_source)
@@ -65,7 +66,7 @@ def build_staging(spark: SparkSession, house: Warehouse) -> dict[str, DataFrame]
     """Staging relations as temporary views; an absent stream table counts as empty."""
     raw = spark.read.parquet(house.path(RAW, "raw_detections"))
     enriched_path = house.path(STREAM, "fire_detection_nrt_enriched")
-    if lake.has_table(spark, enriched_path):
+    if storage.has_table(spark, enriched_path):
         enriched = spark.read.schema(STREAM_ENRICHED).parquet(enriched_path)
     else:
         enriched = spark.createDataFrame([], STREAM_ENRICHED)
@@ -120,9 +121,10 @@ def build_intermediate(
     ):
         tables[name] = _saved(spark, build(detections), house.path(CORE, name), False)
     fact_path = house.path(CORE, "fct_detection")
-    scope = date if lake.has_table(spark, fact_path) else None
+    scope = date if storage.has_table(spark, fact_path) else None
     fact = star.fct_detection(detections, scope)
-    incremental.upsert(spark, fact_path, fact, cluster_by=["regency_id"])
+    # The fact is a projection of a table just saved: no further copy is needed.
+    incremental.upsert(spark, fact_path, fact, cluster_by=["regency_id"], saved=True)
     tables["fct_detection"] = spark.read.schema(fact.schema).parquet(fact_path)
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
@@ -134,7 +136,7 @@ def build_marts(
 ) -> dict[str, DataFrame]:
     """Replace the mart's days in scope, then rebuild the rankings."""
     path = house.path(MART, "daily_detection")
-    scope = marts.mart_scope(core["fct_detection"], date, as_of, incremental=lake.has_table(spark, path))
+    scope = marts.mart_scope(core["fct_detection"], date, as_of, incremental=storage.has_table(spark, path))
     daily = marts.daily_detection(scope, core["dim_detection_classification"], core["dim_location"])
     incremental.overwrite_dates(daily, path, cluster_by=["province_name"])
     tables = {"daily_detection": spark.read.schema(daily.schema).parquet(path)}

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import storage
+
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -55,6 +59,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def saved_copy(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """A written copy of a frame that several jobs read; removed afterwards."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        storage.delete(spark, path)
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write once, read back: cuts lineage in storage that outlives executors."""
     path = scratch_path(df.sparkSession, label)

@@ -8,7 +8,7 @@ from datetime import date as Date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lake
+from .. import storage
 
 
 class AmbiguousSource(ValueError):
@@ -30,8 +30,8 @@ class SourceReport:
 def batch_objects(spark: SparkSession, root: str, day: str, kind: str = "archive") -> list[str]:
     """Day partitions, and single-file objects with the date in their name."""
     when = Date.fromisoformat(day)
-    partitioned = lake.glob(spark, f"{root}/{kind}/*/year={when:%Y}/month={when:%m}/acq_date={day}")
-    single = lake.glob(spark, f"{root}/{kind}/{when:%Y}/{when:%m}/*{day}*.parquet")
+    partitioned = storage.glob(spark, f"{root}/{kind}/*/year={when:%Y}/month={when:%m}/acq_date={day}")
+    single = storage.glob(spark, f"{root}/{kind}/{when:%Y}/{when:%m}/*{day}*.parquet")
     return partitioned + single
 
 

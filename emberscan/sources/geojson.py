@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions.keys import admin_name_key
 from ..schemas import GEOJSON
-from . import lake
 
 FILES = "*.geojson"
 _POLYGON = "array<array<array<double>>>"
@@ -35,7 +35,7 @@ def _rings(geometry_type: Column, coordinates: Column) -> Column:
 
 
 def _features(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    if not lake.glob(spark, f"{folder}/{pattern}"):
+    if not storage.glob(spark, f"{folder}/{pattern}"):
         raise FileNotFoundError(f"no {pattern} files in {folder}")
     return (
         spark.read.schema(GEOJSON)

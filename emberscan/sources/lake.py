@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..constants import LANDING_TABLES
 from ..functions.coerce import lenient_date
 from .files import write_snapshot
@@ -22,40 +23,9 @@ from .files import write_snapshot
 ROWS_PER_FILE = 5_000_000
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _file_system(spark, path)
-    return fs.exists(target)
-
-
-def glob(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching a pattern, in name order."""
-    fs, target = _file_system(spark, pattern)
-    found = fs.globStatus(target)
-    return sorted(status.getPath().toString() for status in found) if found else []
-
-
-def has_table(spark: SparkSession, path: str) -> bool:
-    """Whether any committed data file lies at the path or in its partitions."""
-    fs, target = _file_system(spark, path)
-    if not fs.exists(target):
-        return False
-    entries = fs.listFiles(target, True)
-    while entries.hasNext():
-        if entries.next().getPath().getName().endswith(".parquet"):
-            return True
-    return False
-
-
 def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable[object]) -> None:
     for value in values:
-        fs, target = _file_system(spark, f"{path}/{column}={value}")
-        fs.delete(target, True)
+        storage.delete(spark, f"{path}/{column}={value}")
 
 
 def _laid_out(df: DataFrame, partition_by: list[str], cluster_by: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from emberscan import storage
 from emberscan.operators import incremental
 from emberscan.operators.guards import DateGuardError, DuplicateKey, fits_broadcast
 from emberscan.operators.skew import salted_left_join
@@ -54,7 +55,7 @@ def test_upsert_rejects_repeated_keys_and_ignores_nothing(spark, folder):
     with pytest.raises(DuplicateKey, match="a"):
         incremental.upsert(spark, path, rows(spark, ("a", 1, "2024-01-01"), ("a", 2, "2024-01-01")))
     assert incremental.upsert(spark, path, rows(spark, ("a", 1, "2024-01-01")).where("false")) == 0
-    assert not lake.has_table(spark, path)
+    assert not storage.has_table(spark, path)
 
 
 def test_overwrite_dates_keeps_other_days(spark, folder):

@@ -91,6 +91,11 @@ def test_borders_holes_and_parts(spark, size):
         assert len(got) == sum(len(w) for _, w in cases)
 
 
+def test_points_that_are_no_place_match_nothing(spark):
+    odd = [(float("nan"), 1.0), (1.0, float("nan")), (float("inf"), 1.0), (1e300, -1e300)]
+    assert located(spark, {1: [square(-5, -5, 10)]}, odd, 1.0) == [(i, None) for i in range(4)]
+
+
 def test_first_match_takes_the_lowest_known_id(spark):
     assert located(spark, TWINS, [(2.0, 1.0)], 1.0, on_multiple="first") == [(0, 1)]
 
