@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from .guards import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast
 from .skew import HOT_ROWS, salted_left_join
 
-CELL_SIZES = (1.0, 0.5, 0.25, 0.1, 0.05, 0.025, 0.01)
-EDGES_PER_CELL = 256
+CELL_SIZES = (1.0, 0.5, 0.25, 0.1, 0.05, 0.025, 0.0125, 0.00625)
+EDGES_PER_CELL = 32
+MAX_CELLS = 1_000_000
 _SLACK = 1e-9
 
 
@@ -95,20 +96,32 @@ def _crossings(edges: str, lon: str, lat: str) -> str:
 # --- building the index ------------------------------------------------------
 
 
-def choose_cell_size(boundaries: DataFrame, edges_per_cell: int = EDGES_PER_CELL) -> float:
-    """Coarsest grid whose densest cell stays within the edge budget (one small job)."""
-    per_cell = (
-        boundary_edges(boundaries)
-        .select("x", "y", F.explode(F.array(*map(F.lit, CELL_SIZES))).alias("size"))
-        .groupBy("size", F.floor(F.col("x") / F.col("size")), F.floor(F.col("y") / F.col("size")))
-        .count()
+def choose_cell_size(
+    boundaries: DataFrame, edges_per_cell: int = EDGES_PER_CELL, max_cells: int = MAX_CELLS
+) -> float:
+    """Grid for these boundaries, from one small job over their vertices.
+
+    Finer cells leave a point fewer edges to test, but more cells make the index
+    too big to broadcast. So: the coarsest size whose densest cell stays within
+    the edge budget, as far as the boundaries' total extent allows the cells.
+    """
+    vertices = boundary_edges(boundaries, "boundary_id").select("boundary_id", "x", "y")
+    extent = (
+        vertices.groupBy("boundary_id")
+        .agg(((F.max("x") - F.min("x")) * (F.max("y") - F.min("y"))).alias("area"))
+        .agg(F.coalesce(F.sum("area"), F.lit(0.0)))
+        .first()[0]
     )
+    allowed = [size for size in CELL_SIZES if extent / size**2 <= max_cells] or [CELL_SIZES[0]]
     fitting = (
-        per_cell.groupBy("size").agg(F.max("count").alias("densest"))
+        vertices.select("x", "y", F.explode(F.array(*map(F.lit, allowed))).alias("size"))
+        .groupBy("size", F.floor(F.col("x") / F.col("size")), F.floor(F.col("y") / F.col("size")))
+        .count()
+        .groupBy("size").agg(F.max("count").alias("densest"))
         .where(F.col("densest") <= edges_per_cell)
         .agg(F.max("size")).first()[0]
     )
-    return fitting or CELL_SIZES[-1]
+    return fitting or allowed[-1]
 
 
 def build_cell_index(
