@@ -48,9 +48,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input stored as fewer splits than that; larger inputs pass untouched."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw detections, one per event."""
-    return table(spark, sf_dir, "events").selectExpr(*[f"{sql} as {name}" for name, sql in DETECTION_SQL.items()])
+    events = spread(table(spark, sf_dir, "events").drop("props"))
+    return events.selectExpr(*[f"{sql} as {name}" for name, sql in DETECTION_SQL.items()])
 
 
 def regencies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -464,11 +464,11 @@ _FACT_SLICE = ["detection_id", "regency_id", "fire_radiative_power", "acquisitio
 
 @query
 def upsert_fact(spark, sf_dir):
-    rows = fact(spark, sf_dir).select(*_FACT_SLICE)
+    rows = materialise(fact(spark, sf_dir).select(*_FACT_SLICE), "fact_rows")
     base, changes = _base_and_changes(rows, "acquisition_date", "fire_radiative_power")
     path = scratch_path(spark, "fact")
-    incremental.upsert(spark, path, base, cluster_by=["regency_id"])
-    incremental.upsert(spark, path, changes, cluster_by=["regency_id"])
+    incremental.upsert(spark, path, base, cluster_by=["regency_id"], saved=True)
+    incremental.upsert(spark, path, changes, cluster_by=["regency_id"], saved=True)
     return spark.read.parquet(path)
 
 
@@ -498,7 +498,8 @@ def date_scoped_replace(spark, sf_dir):
 @query
 def append_unseen(spark, sf_dir):
     """Append a stream whose events are partly in the table already."""
-    rows = enriched_stream(spark, sf_dir).select("event_id", "acquisition_date", "fire_radiative_power", "regency_id")
+    columns = ["event_id", "acquisition_date", "fire_radiative_power", "regency_id"]
+    rows = materialise(enriched_stream(spark, sf_dir).select(*columns), "stream_rows")
     base, changes = _base_and_changes(rows, "acquisition_date", "fire_radiative_power")
     path = scratch_path(spark, "enriched")
     incremental.append_unseen(spark, path, base, "event_id")
