@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from emberscan.showcase.queries import REGISTRY
 
 from .compare import connect, difference
 from .conftest import SMALL
@@ -26,7 +27,7 @@ def test_same_result_as_duckdb(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(REGISTRY) <= set(entry.oracle_sql())
 
 
 def test_flagship(spark):
