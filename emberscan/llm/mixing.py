@@ -80,15 +80,16 @@ def copies(
     table = rates(docs, weights, repetition).select(F.col("source").alias("_source"), steps(F.col("rate")).alias("_steps"))
     table = broadcast_if_small(table)
     drawn = hashed_unit(F.lit(seed), F.col("doc_id"))
-    own = [F.col(name) for name in docs.columns if name not in ("copy", "mix_key")]
+    own = [name for name in docs.columns if name not in ("copy", "mix_key")]
+    rows = docs.select("doc_id", "source", drawn.alias("_drawn"), F.struct(*own).alias("_row"))
     count = F.size(F.filter("_steps", lambda step: step <= F.col("_drawn")))
+    key = F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "copy")
     return (
-        docs.join(table, docs["source"].eqNullSafe(table["_source"]), "left")
-        .withColumn("_drawn", drawn)
+        rows.join(table, rows["source"].eqNullSafe(table["_source"]), "left")
         .withColumn("_count", count)
         .where("_count > 0")
-        .select(*own, F.explode(F.sequence(F.lit(1), F.col("_count"))).alias("copy"))
-        .withColumn("mix_key", F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "copy")))
+        .select("doc_id", "_row", F.explode(F.sequence(F.lit(1), F.col("_count"))).alias("copy"))
+        .select("_row.*", "copy", F.md5(key).alias("mix_key"))
     )
 
 

@@ -320,5 +320,4 @@ def one_of_each(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """
     judged = join_components(docs.select("doc_id", "text"), n, percent)
     gone = judged.where("doc_id > component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    return kept
+    return docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")

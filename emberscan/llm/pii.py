@@ -198,7 +198,7 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, least: float = GENERALISE,
         F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.sort_array(F.concat(base, terms)).alias("_cuts")
     )
     some = marked.where(F.size("_cuts") > 0).dropDuplicates(["_id", "_key"])
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    same = docs["doc_id"].eqNullSafe(some["_id"]) & (F.xxhash64(docs["text"]) == some["_key"])
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,5 +206,5 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, least: float = GENERALISE,
             texts = [_cut(text, c) for text, c in zip(batch.column(at).to_pylist(), cuts)]
             yield kept.set_column(at, kept.schema.field(at), pa.array(texts, kept.schema.field(at).type))
 
-    joined = docs.join(some, same, "left").select(*[docs[name] for name in docs.columns], "_cuts")
+    joined = docs.join(some, same, "left").select(*[docs[name] for name in docs.columns], some["_cuts"])
     return joined.mapInArrow(replace, docs.schema)

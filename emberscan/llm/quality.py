@@ -8,7 +8,8 @@ expressions, so nothing is shuffled.
 Defined results: a null text has no words and all counts are 0; ratios of an
 empty text are null and break no rule (the word bound does); repeated rows are
 judged alike; an empty table gives an empty result; other columns of the input
-pass through unless `measures` makes one of that name, which then replaces it.
+pass through `measures` and `judge` unless these make one of that name, which then
+replaces it; `keep_good` returns the input's columns untouched.
 """
 
 from __future__ import annotations
@@ -171,4 +172,5 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[Rule, ..
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
     """The documents that break no rule, with their own columns only."""
-    return judge(docs, rules, base).where("kept").select(*docs.columns)
+    rows = docs.select("text", F.struct(*docs.columns).alias("_row"))
+    return judge(rows, rules, base).where("kept").select("_row.*")
