@@ -269,7 +269,7 @@ def oracle_sql() -> dict[str, str]:
     out["event_projection_archive"] = out["event_projection"]
     out["stream_transform_batch"] = with_ + _STREAM + " select * from srow"
     problem = "case confidence when 'h' then 'MALFORMED_JSON' when 'l' then 'MISSING_FIELD'" \
-        " else case when satellite is null then 'MISSING_FIELD' when confidence='x' then 'INVALID_VALUE' else 'NONE' end end"
+        " else case when confidence='x' then 'INVALID_VALUE' else 'NONE' end end"
     out["decode_problems"] = with_ + _RAW + f" select {problem} as problem, count(*) as messages from raw group by 1"
     out["decode_events"] = (
         with_ + _RAW + ", " + _EVENTS
@@ -465,10 +465,9 @@ select c_custkey, case when c_mktsegment in ('BUILDING','MACHINERY') then null e
 from customer join nation on n_nationkey=c_nationkey join region on r_regionkey=n_regionkey"""
 
     out["stream_end_to_end"] = (
-        with_ + _STREAM + " select * exclude (ingested_timestamp) from srow where satellite is not null"
+        with_ + _STREAM + " select * exclude (ingested_timestamp) from srow"
     )
     out["stream_enrichment"] = (
         with_ + _ENRICHED + " select event_id, fire_radiative_power, regency_id, acquisition_date from enr"
-        " where satellite is not null"
     )
     return out

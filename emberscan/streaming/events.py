@@ -39,15 +39,24 @@ def to_events(rows: DataFrame, names: dict[str, str] | None = None, published_at
     )
 
 
+# Texts whose absence does not make an event unusable: staging gives them their sentinel.
+OPTIONAL = ("satellite", "instrument", "confidence", "version", "daynight")
+
+
 def encode(events: DataFrame) -> DataFrame:
-    """Events as messages: key and JSON value, the shape file and broker sinks take."""
-    return events.select(F.col("event_id").alias("key"), F.to_json(F.struct(*EVENT.names)).alias("value"))
+    """Events as messages: key and JSON value, the shape file and broker sinks take.
+
+    Null fields are written as nulls, so a message always names every field.
+    """
+    value = F.to_json(F.struct(*EVENT.names), {"ignoreNullFields": "false"})
+    return events.select(F.col("event_id").alias("key"), value.alias("value"))
 
 
 def decode(messages: DataFrame) -> DataFrame:
     """Messages as (value, event, problem); a problem is null for a usable event.
 
-    Every field is required. JSON decoding reports broken text but not absent
+    Text that describes the instrument or the reading may be null, as in the batch
+    path; all else is required. JSON decoding reports broken text but not absent
     fields or impossible dates, so those are tested here.
     """
     text = F.col("value").cast("string")
@@ -59,7 +68,7 @@ def decode(messages: DataFrame) -> DataFrame:
     )
     event = F.col("event")
     missing = F.lit(False)
-    for field in EVENT.names:
+    for field in (name for name in EVENT.names if name not in OPTIONAL):
         missing = missing | event.getField(field).isNull()
     unusable = (
         event.getField("acq_date").try_cast("date").isNull()

@@ -28,7 +28,7 @@ def house(spark, tmp_path_factory):
     index, size = region_index(
         adapter.boundaries(spark, SMALL), adapter.regencies(spark, SMALL), adapter.CELL_SIZE
     )
-    streamed = detections.where(F.col("acq_date").cast("string") == "2024-01-07").where("satellite is not null")
+    streamed = detections.where(F.col("acq_date").cast("string") == "2024-01-07")
     events.encode(events.to_events(streamed)).select("value").write.text(f"{root}/messages")
     raw, enriched = (warehouse.path(runs.STREAM, f"fire_detection_nrt_{t}") for t in ("raw", "enriched"))
     jobs.start_raw_sink(jobs.message_files(spark, f"{root}/messages"), raw, f"{root}/cp").awaitTermination()
