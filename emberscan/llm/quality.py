@@ -173,4 +173,7 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[Rule, ..
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
     """The documents that break no rule, with their own columns only."""
     rows = docs.select("text", F.struct(*docs.columns).alias("_row"))
-    return judge(rows, rules, base).where("kept").select("_row.*")
+    # The filter must not be pushed below the measures, where each would be computed again for
+    # every use in the condition; a filter stays above a projection that numbers its rows.
+    judged = judge(rows, rules, base).select("_row", "kept", F.monotonically_increasing_id().alias("_at"))
+    return judged.where("kept and _at >= 0").select("_row.*")
