@@ -14,7 +14,7 @@ Only then do sets meet:
 1. Equal sets are one class (a class is named by a hash of its set). A task sends
    the signatures of a class once, so hot copies cost a row per task.
 2. Signatures held by two classes or more tie these into families, by a
-   star around the least class of each, and connected components.
+   star around the least class of each, and connected components, band by band.
 3. Each class's set goes to its family; large families are split into blocks, and
    pairs of blocks meet in different tasks. There all pairs of sets are compared
    exactly by a matrix product, and only a spanning forest of the links leaves.
@@ -49,7 +49,7 @@ GROUP_SPARE = 1  # differences that the enumeration within a group absorbs
 GROUP_PARTS = 2
 CERTAIN = 40
 SPLITS = 4
-BLOCK = 256  # sets of one side of a comparison
+BLOCK = 512  # sets of one side of a comparison
 COLUMNS = 4096  # elements of one matrix product
 
 _U = np.uint64
@@ -124,13 +124,19 @@ def _subsets(parts: int, spare: int) -> list[tuple[int, ...]]:
     return list(combinations(range(parts), parts - spare if parts > 1 else 1))
 
 
+def banded_signatures(
+    elements: np.ndarray, percent: int, spare: int = GROUP_SPARE, parts: int = GROUP_PARTS
+) -> Iterator[tuple[int, np.ndarray]]:
+    """(band, signatures) of a set in its own band and in the next one."""
+    band, *highs = band_of(len(elements), percent)
+    for number, high in enumerate(highs, band):
+        found = _signatures_in(number, difference_bound(high, high, percent), elements, spare, parts)
+        yield number, np.unique(np.concatenate(found))
+
+
 def signatures(elements: np.ndarray, percent: int, spare: int = GROUP_SPARE, parts: int = GROUP_PARTS) -> np.ndarray:
-    """All signatures of a set: its own band's and the next one's."""
-    size = len(elements)
-    band, high, next_high = band_of(size, percent)
-    out = _signatures_in(band, difference_bound(high, high, percent), elements, spare, parts)
-    out += _signatures_in(band + 1, difference_bound(next_high, next_high, percent), elements, spare, parts)
-    return np.unique(np.concatenate(out))
+    """All signatures of a set."""
+    return np.concatenate([found for _, found in banded_signatures(elements, percent, spare, parts)])
 
 
 def _sets(batch: pa.RecordBatch, column: int, n: int) -> Iterator[np.ndarray]:
@@ -172,30 +178,39 @@ def classes(docs: DataFrame, n: int) -> DataFrame:
 
 
 def signature_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(signature, class) of every class, once per task that meets it."""
+    """(signature, class, band) of every class, once per task that meets it."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            found, owners = [], []
+            found, owners, bands = [], [], []
             for elements in _sets(batch, 1, n):
                 name = _class_of(elements) if len(elements) else None
                 if name is not None and name not in seen:
                     seen.add(name)
-                    found.append(signatures(elements, percent))
-                    owners.append(np.full(len(found[-1]), name, dtype=np.int64))
+                    for band, made in banded_signatures(elements, percent):
+                        found.append(made)
+                        owners.append(np.full(len(made), name, dtype=np.int64))
+                        bands.append(np.full(len(made), band, dtype=np.int32))
             if found:
-                columns = [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(owners))]
-                yield pa.record_batch(columns, names=["signature", "class"])
+                columns = [pa.array(np.concatenate(found).view(np.int64)), *(pa.array(np.concatenate(c)) for c in (owners, bands))]
+                yield pa.record_batch(columns, names=["signature", "class", "band"])
 
-    return hashed_words(docs).mapInArrow(of, "signature long, class long")
+    return hashed_words(docs).mapInArrow(of, "signature long, class long, band int")
 
 
 def families(rows: DataFrame) -> DataFrame:
-    """Classes that share a signature with another, with the family they are tied into."""
+    """(class, family) of the classes that share a signature with another; a class may be in one family per band.
+
+    Families do not chain from band to band: what is tied is a class within a band.
+    """
     least = F.min("class").over(Window.partitionBy("signature"))
-    stars = rows.select(least.alias("a"), F.col("class").alias("b")).where("a <> b").distinct()
-    return components(stars).select(F.col("node").alias("class"), F.col("component").alias("family"))
+    tied = rows.select(least.alias("least"), "class", "band").where("least <> class").distinct()
+    tied = keep(tied)
+    stars = tied.select(F.xxhash64("least", "band").alias("a"), F.xxhash64("class", "band").alias("b"))
+    members = tied.select("class", "band").union(tied.select("least", "band")).distinct()
+    named = components(stars).select("node", F.col("component").alias("family"))
+    return members.withColumn("node", F.xxhash64("class", "band")).join(named, "node").select("class", "family")
 
 
 def _compared(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
@@ -298,11 +313,11 @@ def join_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     named = keep(classes(slim, n))
     tied = keep(families(signature_rows(slim, n, percent)))
     sizes = tied.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    first = named.join(tied, "class").groupBy("class").agg(F.min("doc_id").alias("_id")).select("_id").distinct()
+    first = named.join(tied.select("class").distinct(), "class").groupBy("class").agg(F.min("doc_id").alias("_id")).select("_id").distinct()
     chosen = broadcast_if_small(first)
     texts = slim.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     found = hashed_words(texts).mapInArrow(elements_of, "class long, elements array<long>")
-    sets = found.join(tied, "class").dropDuplicates(["class"])
+    sets = found.dropDuplicates(["class"]).join(tied, "class")
     links = _links(sets.join(sizes, "family"), percent)
     linked = components(links).select(F.col("node").alias("class"), F.col("component").alias("_group"))
     grouped = named.join(linked, "class", "left").withColumn("_group", F.coalesce("_group", "class"))
