@@ -24,6 +24,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -36,6 +37,8 @@ END_ID = 2
 BUCKET_ROWS = 50_000  # pieces numbered by one window group, on average
 CACHE_WORDS = 400_000  # different words whose ids a Python worker remembers
 VOCABULARY = "byte_bpe_50k.tiktoken"
+# Fixed value: the vocabulary's only added token, which texts may spell out.
+ADDED_TOKENS = {"<|endoftext|>": 50256}
 
 # A space between two other non-spaces begins a token by the vocabulary's pattern,
 # so texts can be encoded word by word where all spaces are of that kind.
@@ -60,9 +63,11 @@ class WordEncoder:
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self._encode = tiktoken.Encoding(
-            "vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        ).encode_ordinary
+        encoding = tiktoken.Encoding(
+            "vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ADDED_TOKENS
+        )
+        self._encode = encoding.encode_ordinary
+        self._encode_added = partial(encoding.encode, allowed_special="all")
         encode = self._packed
 
         class Words(dict):
@@ -86,6 +91,8 @@ class WordEncoder:
         return ids.tobytes()
 
     def encode(self, text: str) -> bytes:
+        if any(token in text for token in ADDED_TOKENS):
+            return array("I", self._encode_added(text)).tobytes()
         words = _CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
         first = words[0]
         if len(words) > 1 and first == "":  # the text begins with a space

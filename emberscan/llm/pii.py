@@ -18,7 +18,9 @@ gives no rows; spans count code points, end exclusive; added spans never overlap
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -70,7 +72,8 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the base patterns, leftmost and not overlapping per kind, by start and kind."""
     found = [(*span, "email") for span in _emails(text)]
     for match in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in match.groups()):
+        parts = [part.lstrip("0") or "0" for part in match.groups()]
+        if all(len(part) <= 3 and int(part) <= 255 for part in parts):
             found.append((*match.span(), "ip"))
     for match in _CARD.finditer(text):
         digits = re.sub("[^0-9]", "", match.group())
@@ -94,12 +97,14 @@ def near_terms(text: str, spans: list[tuple[int, int, str]], near: int = NEAR) -
     Only 64 characters a term are read on either side; a term cut off there does not count.
     """
     found = set()
+    starts, ends = [s for s, _, _ in spans], list(accumulate((e for _, e, _ in spans), max))
     for start, end, kind in spans:
         entity, reach = entity_of(kind, text[start:end]), 64 * near
         left = [m.span() for m in _TERM.finditer(text, max(0, start - reach), start) if m.start() > start - reach]
         right = [m.span() for m in _TERM.finditer(text, end, end + reach) if m.end() < end + reach]
         for a, b in [*left[-near:], *right[:near]]:
-            if not any(a < e and s < b for s, e, _ in spans):
+            before = bisect_left(starts, b)  # spans that start before the term ends
+            if not before or ends[before - 1] <= a:
                 found.add((entity, text[a:b].translate(_ASCII_LOWER), a, b))
     return sorted(found)
 

@@ -18,8 +18,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -109,7 +111,9 @@ def literal_spans(text: str, taken: list[tuple[int, int, str]], least: float = L
         (*span, "literal") for span, score in best.items() if score and score * literal_score(text[span[0] : span[1]]) >= least
     ]
     taken = sorted(taken)
-    return [s for s in found if not any(s[0] < t[1] and t[0] < s[1] for t in taken)]
+    starts, ends = [t[0] for t in taken], [0, *accumulate((t[1] for t in taken), max)]
+    # Of the spans that start before a literal ends, none may end after it starts.
+    return [s for s in found if ends[bisect_left(starts, s[1])] <= s[0]]
 
 
 def spans_of(text: str | None) -> list[tuple[int, int, str]]:

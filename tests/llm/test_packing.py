@@ -20,7 +20,6 @@ from .tables import documents, odd_documents
 @pytest.fixture(scope="module")
 def plain_encode():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -36,6 +35,13 @@ def test_word_by_word_ids(plain_encode, text):
     assert encoded(text) == plain_encode(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext|", " ", "  ", "a", "b c", "\n", "'s", "1"]), max_size=12))
+def test_texts_that_spell_an_added_token(plain_encode, parts):
+    """The vocabulary's added token is one id wherever a text spells it, as its tokenizer has it."""
+    assert encoded("".join(parts)) == plain_encode("".join(parts))
+
+
 def test_ids_of_documents(spark, plain_encode):
     for row in documents(spark).select("text").collect():
         assert encoded(row["text"]) == plain_encode(row["text"])

@@ -84,6 +84,16 @@ def test_long_runs_take_linear_time():
     secret_scan.spans_of("=" * 200_000 + "a" * 200_000)
 
 
+def test_many_spans_and_long_numbers():
+    """Time is linear in the spans of a text; a part of thousands of zeros is a number too."""
+    assert pii.base_spans("0" * 6000 + "1.2.3.4") == [(0, 6007, "ip")]
+    text = "from ab@cd.ef to " * 20_000
+    assert len(pii.near_terms(text, pii.base_spans(text))) == 20_000  # "to" is too short for a term
+    config = 'token = abcdefgh12\ndb_secret_name = "kf8 Jd9s0Qw2z!"\n' * 20_000
+    found = secret_scan.spans_of(config)
+    assert sum(kind == "assign" for _, _, kind in found) == 20_000
+
+
 def test_constants_reach_names():
     text = 'first = "kf8Jd9s0Qw2z"\nsecond = first\ndb_password = second\ntitle = "a quiet afternoon walk"\n'
     assert secret_scan.literal_spans(text, []) == [(9, 21, "literal")]
