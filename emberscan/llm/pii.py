@@ -140,10 +140,11 @@ def find(docs: DataFrame, near: int = NEAR) -> DataFrame:
 
 
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """In how many documents each of the given terms stands."""
+    """In how many documents each of the given terms, all different, stands. Counts meet the terms, not every word of every text."""
     own = F.array_distinct(F.regexp_extract_all(lower_ascii(text_of(docs)), F.lit(TERM), F.lit(0)))
-    each = docs.select(F.explode(own).alias("term"))
-    return each.join(broadcast_if_small(terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    counts = docs.select(F.explode(own).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    # An inner join: a semi join would be pushed below the counts, to every word of every text.
+    return counts.join(broadcast_if_small(terms), "term").select("term", "n_t")
 
 
 def disclosures(found: DataFrame, docs: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
