@@ -263,7 +263,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     keyed = spread.select("family", "pair.i", "pair.j", "block", "class", "elements")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        key, held, names = None, [], set()
 
         def finish() -> pa.RecordBatch | None:
             left = [row for row in held if row[0] == key[1]]
@@ -286,9 +286,11 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
                 if now != key:
                     if held and (out := finish()) is not None:
                         yield out
-                    key, held = now, []
-                begin = ends[at - 1] if at else 0
-                held.append((block[at], name[at], values[begin:end].copy()))
+                    key, held, names = now, [], set()
+                if name[at] not in names:
+                    names.add(name[at])
+                    begin = ends[at - 1] if at else 0
+                    held.append((block[at], name[at], values[begin:end].copy()))
         if held and (out := finish()) is not None:
             yield out
 
@@ -302,12 +304,20 @@ def join_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     slim = docs.select("doc_id", "text")
 
     def elements_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(class, elements) of the sets, once per task that meets a class."""
+        seen: set[int] = set()
         for batch in batches:
-            sets = [elements for elements in _sets(batch, 1, n) if len(elements)]
+            sets, names = [], []
+            for elements in _sets(batch, 1, n):
+                name = _class_of(elements) if len(elements) else None
+                if name is not None and name not in seen:
+                    seen.add(name)
+                    sets.append(elements)
+                    names.append(name)
             if sets:
                 offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 flat = pa.array(np.concatenate(sets).view(np.int64))
-                columns = [pa.array([_class_of(s) for s in sets]), pa.ListArray.from_arrays(pa.array(offsets), flat)]
+                columns = [pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), flat)]
                 yield pa.record_batch(columns, names=["class", "elements"])
 
     named = keep(classes(slim, n))
@@ -317,8 +327,9 @@ def join_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     chosen = broadcast_if_small(first)
     texts = slim.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     found = hashed_words(texts).mapInArrow(elements_of, "class long, elements array<long>")
-    sets = found.dropDuplicates(["class"]).join(tied, "class")
-    links = _links(sets.join(sizes, "family"), percent)
+    # A set is the largest row here: it is shuffled once, to its family, where tasks leave out what they hold already.
+    owners = broadcast_if_small(keep(tied.join(sizes, "family")))
+    links = _links(found.join(owners, "class"), percent)
     linked = components(links).select(F.col("node").alias("class"), F.col("component").alias("_group"))
     grouped = named.join(linked, "class", "left").withColumn("_group", F.coalesce("_group", "class"))
     least = grouped.where("class is not null").groupBy("_group").agg(F.min("doc_id").alias("component_id"))
