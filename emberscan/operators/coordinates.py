@@ -52,9 +52,13 @@ def coordinate_profile(raw: DataFrame, precisions: Sequence[int] = tuple(range(6
 
 
 def rounded_coordinates(raw: DataFrame, places: int = WORKLIST_PLACES) -> DataFrame:
-    """Distinct coordinates at a coarse precision, nulls dropped."""
+    """Distinct coordinates at a coarse precision; what is no number or lies outside the globe is dropped.
+
+    So there are at most 180 * 10 ** places + 1 latitudes, whatever the input.
+    """
+    on_globe = F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180)
     return (
-        raw.select("latitude", "longitude").dropna()
+        valid_points(raw).where(on_globe)
         .select(
             rounded_degrees(F.col("latitude"), places).alias("latitude"),
             rounded_degrees(F.col("longitude"), places).alias("longitude"),

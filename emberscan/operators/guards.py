@@ -61,10 +61,10 @@ def _value_bytes(kind: T.DataType, value: Column) -> Column:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure the frame; only one number per row moves, and at most `max_rows` of them."""
+    """Measure the whole frame by partial sums: two numbers per task move."""
     row = reduce(add, (_value_bytes(f.dataType, F.col(f.name)) for f in df.schema), F.lit(16)).cast("bigint")
     size = (
-        df.select(row.alias("bytes")).limit(max_rows + 1)
+        df.select(row.alias("bytes"))
         .agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
         .first()
     )
