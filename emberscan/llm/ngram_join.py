@@ -20,11 +20,15 @@ Only then do sets meet:
    exactly by a matrix product, and only a spanning forest of the links leaves.
 4. Components of these links are the result.
 
-A subset without elements gives no signature, for sets of one band would meet in
-it by chance. Similar sets could then be missed only if the k differences touched
-every filled subset. Where k is below `CERTAIN` the domain is therefore split anew
-(up to `SPLITS` times), and at the last split empty subsets count too, so nothing
-is missed; above, the chance is below that of two n-grams sharing a 64-bit hash.
+A set needs as many subsets as its own partners, not the band's largest, can differ
+in: groups go out in a fixed order until that many differences could not touch all
+filled subsets so far. Of two similar sets one stops first, and one of its subsets
+is untouched and is sent by the other as well. A subset without elements gives no
+signature, for sets of one band would meet in it by chance. Where too few subsets
+are filled and k is below `CERTAIN`, the domain is split anew (up to `SPLITS` times),
+and at the last split empty subsets count too, so nothing is missed; above, similar
+sets are missed only if differences touched every filled subset of both, and the
+chance of that is below that of two n-grams sharing a 64-bit hash.
 
 Defined results: null, empty and white-space texts have an empty set and link
 with nothing; shorter texts than n words have one n-gram, all their words;
@@ -89,13 +93,16 @@ def band_of(size: int, percent: int) -> tuple[int, int, int]:
         number, low = number + 1, high + 1
 
 
-def _signatures_in(band: int, k: int, elements: np.ndarray, spare: int, parts: int) -> list[np.ndarray]:
-    """Signatures of one set in one band."""
+def _signatures_in(
+    band: int, k: int, differences: int, elements: np.ndarray, spare: int, parts: int
+) -> list[np.ndarray]:
+    """Signatures of one set in one band, whose partners there differ from it in at most `differences` elements."""
     spare = min(spare, k)
     groups = -(-(k + 1) // (spare + 1))
     parts = parts if spare else 1
     out = []
     for split in range(SPLITS if k < CERTAIN else 1):
+        last = k < CERTAIN and split == SPLITS - 1
         scrambled = _mixed(elements, 101 + split)
         cell = ((scrambled >> _U(11)) % _U(groups * parts)).astype(np.int64)
         order = np.argsort(cell, kind="stable")
@@ -103,17 +110,19 @@ def _signatures_in(band: int, k: int, elements: np.ndarray, spare: int, parts: i
         sums = np.concatenate([np.zeros(1, dtype=_U), np.cumsum(_mixed(scrambled[order], 7), dtype=_U)])
         content = (sums[starts[1:]] - sums[starts[:-1]]).reshape(groups, parts)
         filled = np.diff(starts).reshape(groups, parts)
-        missing = False
+        # Fewer differences than these leave a filled subset untouched in one of the groups so far.
+        needed = np.full(groups, spare + 1) if last else np.minimum((filled > 0).sum(axis=1), spare + 1)
+        needed = np.cumsum(needed)
+        sent = min(int(np.searchsorted(needed, differences, side="right")) + 1, groups)
+        content, filled = content[:sent], filled[:sent]
         for subset in _subsets(parts, spare):
             tag = _U((band * 64 + split) * 64 + sum(1 << p for p in subset))
-            value = np.zeros(groups, dtype=_U)
+            value = np.zeros(sent, dtype=_U)
             for part in subset:
                 value = _mixed(value + content[:, part], part)
-            value = _mixed(value ^ _mixed(np.arange(groups, dtype=_U) * _U(4096 * 4096) + tag, 3), 5)
-            present = filled[:, list(subset)].sum(axis=1) > 0
-            missing |= not present.all()
-            out.append(value if k < CERTAIN and split == SPLITS - 1 else value[present])
-        if not missing:
+            value = _mixed(value ^ _mixed(np.arange(sent, dtype=_U) * _U(4096 * 4096) + tag, 3), 5)
+            out.append(value if last else value[filled[:, list(subset)].sum(axis=1) > 0])
+        if needed[-1] > differences:
             break
     return out
 
@@ -127,10 +136,14 @@ def _subsets(parts: int, spare: int) -> list[tuple[int, ...]]:
 def banded_signatures(
     elements: np.ndarray, percent: int, spare: int = GROUP_SPARE, parts: int = GROUP_PARTS
 ) -> Iterator[tuple[int, np.ndarray]]:
-    """(band, signatures) of a set in its own band and in the next one."""
-    band, *highs = band_of(len(elements), percent)
+    """(band, signatures) of a set in its own band and, if partners of it reach there, in the next one."""
+    size, largest = len(elements), len(elements) * 100 // percent
+    band, *highs = band_of(size, percent)
     for number, high in enumerate(highs, band):
-        found = _signatures_in(number, difference_bound(high, high, percent), elements, spare, parts)
+        if number > band and largest <= highs[0]:
+            return
+        differences = difference_bound(size, min(high, largest), percent)
+        found = _signatures_in(number, difference_bound(high, high, percent), differences, elements, spare, parts)
         yield number, np.unique(np.concatenate(found))
 
 
