@@ -15,9 +15,13 @@ Only then do sets meet:
    the signatures of a class once, so hot copies cost a row per task.
 2. Signatures held by two classes or more tie these into families, by a
    star around the least class of each, and connected components, band by band.
-3. Each class's set goes to its family; large families are split into blocks, and
-   pairs of blocks meet in different tasks. There all pairs of sets are compared
-   exactly by a matrix product, and only a spanning forest of the links leaves.
+3. Each class's set goes to its family. A large family is split into blocks, each of
+   which is compared within and with a few probes, sets that go to every block. What
+   this ties into the family's largest component, its bulk, needs no comparison with
+   itself any more: a second pass compares the rest with the rest and with the bulk,
+   pairs of blocks in different tasks. So a group of near copies of any size costs a
+   set's bytes about twice. Comparisons are exact, by a matrix product, and only a
+   spanning forest of the links leaves.
 4. Components of these links are the result.
 
 A set needs as many subsets as its own partners, not the band's largest, can differ
@@ -42,7 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.guards import broadcast_if_small
@@ -54,6 +58,8 @@ GROUP_PARTS = 2
 CERTAIN = 40
 SPLITS = 4
 BLOCK = 512  # sets of one side of a comparison
+BLOCK_ELEMENTS = 4_000_000  # and about their elements, 32 MB
+PROBES = 16  # sets of a large family that all its blocks meet
 COLUMNS = 4096  # elements of one matrix product
 
 _U = np.uint64
@@ -264,22 +270,55 @@ def _compared(left: list[np.ndarray], right: list[np.ndarray] | None, percent: i
     return forest
 
 
-def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between classes, from (family, blocks, class, elements)."""
-    blocks = F.col("blocks")
-    here = F.pmod(F.xxhash64("class"), blocks)
+def _blocks(sets: Column, elements: Column) -> Column:
+    return F.greatest(F.ceil(sets / BLOCK), F.ceil(elements / BLOCK_ELEMENTS))
+
+
+def _block_of(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("class"), blocks)
+
+
+def _within_blocks(owned: DataFrame) -> DataFrame:
+    """Where the sets go first: to their own block and, if probes, to all blocks of the family."""
+    probe = F.pmod(F.xxhash64("class", F.lit("probe")), F.col("members")) < PROBES
+    here, every = _block_of(F.col("blocks")), F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
+    pairs = F.transform(F.when(probe, every).otherwise(F.array(here)), lambda there: F.struct(there.alias("i"), there.alias("j")))
+    return owned.select("family", "class", here.alias("block"), pairs.alias("pairs"))
+
+
+def _beyond_bulk(owned: DataFrame, linked: DataFrame) -> DataFrame:
+    """Where sets of families of several blocks go then: all of them meet those outside the family's largest component."""
+    large = owned.where("blocks > 1").join(linked, "class", "left")
+    large = keep(large.select("family", "class", "n_shingles", F.coalesce("_group", "class").alias("_group")))
+    sizes = large.groupBy("family", "_group").agg(F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("elements"))
+    bulk = F.max(F.struct("sets", "_group", "elements"))
+    totals = sizes.groupBy("family").agg(bulk.alias("bulk"), F.sum("sets").alias("sets"), F.sum("elements").alias("elements"))
+    split = totals.where(F.col("sets") > F.col("bulk.sets")).select(
+        "family",
+        F.col("bulk._group").alias("bulk"),
+        _blocks(F.col("sets") - F.col("bulk.sets"), F.col("elements") - F.col("bulk.elements")).alias("rests"),
+        _blocks(F.col("bulk.sets"), F.col("bulk.elements")).alias("bulks"),
+    )
+    in_bulk = F.col("_group") == F.col("bulk")
+    here = F.when(in_bulk, F.col("rests") + _block_of(F.col("bulks"))).otherwise(_block_of(F.col("rests")))
+    met = F.sequence(F.lit(0).cast("bigint"), F.col("rests") + F.when(in_bulk, F.lit(0)).otherwise(F.col("bulks")) - 1)
+    placed = large.join(split, "family").select("family", "class", here.alias("block"), met.alias("met"))
     pairs = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), blocks - 1),
-        lambda there: F.struct(F.least(here, there).alias("i"), F.greatest(here, there).alias("j")),
+        "met", lambda there: F.struct(F.least("block", there).alias("i"), F.greatest("block", there).alias("j"))
     )
-    spread = sets.select("family", "class", "elements", here.alias("block"), F.explode(pairs).alias("pair"))
+    return placed.select("family", "class", "block", pairs.alias("pairs"))
+
+
+def _links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes, from (family, class, block, pairs, elements)."""
+    spread = sets.select("family", "class", "elements", "block", F.explode("pairs").alias("pair"))
     keyed = spread.select("family", "pair.i", "pair.j", "block", "class", "elements")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, names = None, [], set()
 
         def finish() -> pa.RecordBatch | None:
-            left = [row for row in held if row[0] == key[1]]
+            left = [row for row in held if row[0] == key[1]] if key[1] != key[2] else held
             right = [row for row in held if row[0] != key[1]] if key[1] != key[2] else None
             if right is not None and not (left and right):
                 return None
@@ -333,17 +372,27 @@ def join_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 columns = [pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), flat)]
                 yield pa.record_batch(columns, names=["class", "elements"])
 
+    def links_of(places: DataFrame) -> DataFrame:
+        """A set is the largest row here: it is shuffled once, to where it is compared."""
+        ids = owned.join(places.select("class").distinct(), "class", "left_semi").select("_id").distinct()
+        texts = slim.join(broadcast_if_small(ids), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+        found = hashed_words(texts).mapInArrow(elements_of, "class long, elements array<long>")
+        return keep(_links(found.join(broadcast_if_small(places), "class"), percent))
+
     named = keep(classes(slim, n))
     tied = keep(families(signature_rows(slim, n, percent)))
-    sizes = tied.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    first = named.join(tied.select("class").distinct(), "class").groupBy("class").agg(F.min("doc_id").alias("_id")).select("_id").distinct()
-    chosen = broadcast_if_small(first)
-    texts = slim.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    found = hashed_words(texts).mapInArrow(elements_of, "class long, elements array<long>")
-    # A set is the largest row here: it is shuffled once, to its family, where tasks leave out what they hold already.
-    owners = broadcast_if_small(keep(tied.join(sizes, "family")))
-    links = _links(found.join(owners, "class"), percent)
+    firsts = named.join(tied.select("class").distinct(), "class").groupBy("class")
+    firsts = firsts.agg(F.min("doc_id").alias("_id"), F.max("n_shingles").alias("n_shingles"))
+    members = keep(tied.join(firsts, "class"))
+    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("elements"))
+    blocks = sizes.select("family", "members", _blocks(F.col("members"), F.col("elements")).alias("blocks"))
+    owned = keep(members.join(blocks, "family"))
+    links = links_of(keep(_within_blocks(owned)))
     linked = components(links).select(F.col("node").alias("class"), F.col("component").alias("_group"))
+    beyond = keep(_beyond_bulk(owned, linked))
+    if not beyond.isEmpty():
+        both = components(links.union(links_of(beyond)))
+        linked = both.select(F.col("node").alias("class"), F.col("component").alias("_group"))
     grouped = named.join(linked, "class", "left").withColumn("_group", F.coalesce("_group", "class"))
     least = grouped.where("class is not null").groupBy("_group").agg(F.min("doc_id").alias("component_id"))
     return grouped.join(least, "_group", "left").select(

@@ -70,8 +70,10 @@ def test_components_equal_brute_force(spark, seed, n, percent):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain_components(rows, n, percent)
 
 
-def test_blocks_lose_nothing(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+@pytest.mark.parametrize(("block", "probes"), [(4, 16), (4, 1), (7, 0)])
+def test_blocks_lose_nothing(spark, monkeypatch, block, probes):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "PROBES", probes)
     rows = varied_documents(3, families=3, copies=30)
     got = ngram_join.join_components(odd_documents(spark, rows), 3, 90).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain_components(rows, 3, 90)
