@@ -59,6 +59,7 @@ CERTAIN = 40
 SPLITS = 4
 BLOCK = 512  # sets of one side of a comparison
 BLOCK_ELEMENTS = 4_000_000  # and about their elements, 32 MB
+TIES = 1_000_000  # shared signatures that a task contracts at once
 PROBES = 16  # sets of a large family that all its blocks meet
 COLUMNS = 4096  # elements of one matrix product
 
@@ -218,13 +219,48 @@ def signature_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return hashed_words(docs).mapInArrow(of, "signature long, class long, band int")
 
 
+def _star(least: np.ndarray, other: np.ndarray, band: np.ndarray) -> pa.RecordBatch:
+    """The same connections within each band, as stars around the least class."""
+    columns = []
+    for now in np.unique(band):
+        here = band == now
+        nodes, ends = np.unique(np.concatenate([least[here], other[here]]), return_inverse=True)
+        x, y = ends[: here.sum()], ends[here.sum() :]
+        label, before = np.arange(len(nodes)), None
+        while before is None or not np.array_equal(label, before):
+            before = label.copy()
+            low = np.minimum(label[x], label[y])
+            for end in (x, y):
+                np.minimum.at(label, before[end], low)
+                np.minimum.at(label, end, low)
+            label = label[label]
+        moved = label != np.arange(len(nodes))
+        columns.append((nodes[label[moved]], nodes[moved], np.full(moved.sum(), now, dtype=np.int32)))
+    return pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*columns)], names=["least", "class", "band"])
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ties (least, class, band) of a task, `TIES` at a time, each as stars."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append([np.asarray(batch.column(c)) for c in range(3)])
+        rows += batch.num_rows
+        if rows >= TIES:
+            yield _star(*(np.concatenate(c) for c in zip(*held)))
+            held, rows = [], 0
+    if rows:
+        yield _star(*(np.concatenate(c) for c in zip(*held)))
+
+
 def families(rows: DataFrame) -> DataFrame:
     """(class, family) of the classes that share a signature with another; a class may be in one family per band.
 
     Families do not chain from band to band: what is tied is a class within a band.
+    Tasks contract their ties before these are shuffled.
     """
     least = F.min("class").over(Window.partitionBy("signature"))
-    tied = rows.select(least.alias("least"), "class", "band").where("least <> class").distinct()
+    tied = rows.select(least.alias("least"), "class", "band").where("least <> class")
+    tied = tied.mapInArrow(_stars, "least long, class long, band int").distinct()
     tied = keep(tied)
     stars = tied.select(F.xxhash64("least", "band").alias("a"), F.xxhash64("class", "band").alias("b"))
     members = tied.select("class", "band").union(tied.select("least", "band")).distinct()

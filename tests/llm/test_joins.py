@@ -79,6 +79,24 @@ def test_blocks_lose_nothing(spark, monkeypatch, block, probes):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain_components(rows, 3, 90)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(-9, 9), st.integers(-9, 9), st.integers(0, 1)), min_size=1, max_size=40))
+def test_stars_connect_the_same(ties):
+    star = ngram_join._star(*(np.array(c) for c in zip(*ties))).to_pylist()
+    edges = {((a, band), (b, band)) for a, b, band in ties if a != b}
+    expected = {}
+    for node in {n for edge in edges for n in edge}:
+        seen, todo = {node}, [node]
+        while todo:
+            at = todo.pop()
+            new = {b if a == at else a for a, b in edges if at in (a, b)} - seen
+            seen |= new
+            todo += new
+        if min(seen) != node:
+            expected[node] = min(seen)
+    assert {(r["class"], r["band"]): (r["least"], r["band"]) for r in star} == expected
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.integers(1, 120), st.integers(0, 10_000), st.sampled_from([80, 90]), st.sampled_from([(0, 1), (1, 2), (1, 3), (2, 4)]))
 def test_similar_sets_share_a_signature(size, seed, percent, scheme):
