@@ -53,7 +53,8 @@ GROUP_SPARE = 1  # differences that the enumeration within a group absorbs
 GROUP_PARTS = 2
 CERTAIN = 40
 SPLITS = 4
-BLOCK = 512  # sets of one side of a comparison
+BLOCK = 2048  # sets of one side of a comparison
+BLOCK_ELEMENTS = 1_000_000  # and about their elements, 8 MB
 TIES = 1_000_000  # shared signatures that a task contracts at once
 COLUMNS = 4096  # elements of one matrix product
 
@@ -283,20 +284,14 @@ def _compared(left: list[np.ndarray], right: list[np.ndarray] | None, percent: i
     linked = 100 * both >= percent * (sizes[:rows, None] + other[None, :] - both)
     if right is None:
         linked &= np.tri(rows, k=-1, dtype=bool)
-    parent = list(range(len(sets)))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    forest = []
-    for i, j in zip(*np.nonzero(linked)):
-        j = int(j) + (0 if right is None else rows)
-        if (a := root(int(i))) != (b := root(j)):
-            parent[a] = b
-            forest.append((int(i), j))
+    component, forest = np.arange(len(sets)), []
+    for i in range(rows):
+        near = np.flatnonzero(linked[i]) + (0 if right is None else rows)
+        near = near[component[near] != component[i]]
+        if len(near):
+            met, at = np.unique(component[near], return_index=True)
+            forest += [(i, int(j)) for j in near[at]]
+            component[np.isin(component, met)] = component[i]
     return forest
 
 
@@ -371,9 +366,11 @@ def join_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
     named = keep(classes(slim, n))
     tied = keep(families(signature_rows(slim, n, percent)))
-    sizes = tied.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    first = named.join(tied.select("class").distinct(), "class").groupBy("class").agg(F.min("doc_id").alias("_id")).select("_id").distinct()
-    chosen = broadcast_if_small(first)
+    firsts = named.join(tied.select("class").distinct(), "class").groupBy("class")
+    firsts = keep(firsts.agg(F.min("doc_id").alias("_id"), F.max("n_shingles").alias("elements")))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("elements") / BLOCK_ELEMENTS))
+    sizes = tied.join(firsts, "class").groupBy("family").agg(blocks.alias("blocks"))
+    chosen = broadcast_if_small(firsts.select("_id").distinct())
     texts = slim.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     found = hashed_words(texts).mapInArrow(elements_of, "class long, elements array<long>")
     # A set is the largest row here: it is shuffled once, to its family, where tasks leave out what they hold already.

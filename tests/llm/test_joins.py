@@ -70,8 +70,9 @@ def test_components_equal_brute_force(spark, seed, n, percent):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain_components(rows, n, percent)
 
 
-def test_blocks_lose_nothing(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+@pytest.mark.parametrize(("bound", "value"), [("BLOCK", 4), ("BLOCK_ELEMENTS", 200)])
+def test_blocks_lose_nothing(spark, monkeypatch, bound, value):
+    monkeypatch.setattr(ngram_join, bound, value)
     rows = varied_documents(3, families=3, copies=30)
     got = ngram_join.join_components(odd_documents(spark, rows), 3, 90).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain_components(rows, 3, 90)
