@@ -6,6 +6,8 @@ their pointwise mutual information, PMI(c; t) = log p(c, t) / (p(c) p(t)), out o
 IC(c) = -log p(c). Terms whose share PMI / IC reaches `GENERALISE` are replaced by their form, those that
 reach `REMOVE` are taken out; only near the entity they disclose, so a text without personal data stays as it is.
 Probabilities are shares of documents: p(c, t) counts documents with t near c, p(t) those with t anywhere.
+All pairs are scored. A rare pair is judged by chance, not by a count: were c and t independent, n_c n_t / n
+documents would hold both, and a pair is evidence if as many as seen come by chance with at most `CHANCE`.
 
 Python finds spans text by text (Arrow batches); all counting is joins and aggregates on
 pre-aggregated pairs, so an entity in a third of all documents is a few counts per task. What a
@@ -31,7 +33,7 @@ from .shared import keep, lower_ascii, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 NEAR = 6  # terms on either side of an entity
-SUPPORT = 3  # documents that must show a term near an entity before it counts as evidence
+CHANCE = 0.1  # probability of as many common documents by chance, above which a pair is no evidence
 GENERALISE = 0.9
 REMOVE = 0.999
 
@@ -147,27 +149,33 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return counts.join(broadcast_if_small(terms), "term").select("term", "n_t")
 
 
-def disclosures(found: DataFrame, docs: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+def disclosures(found: DataFrame, docs: DataFrame, chance: float = CHANCE, least: float = GENERALISE) -> DataFrame:
     """(entity, term, share) of the pairs whose share of information reaches the threshold."""
     total = found.agg(F.count(F.lit(1)).cast("double").alias("n"))
     pairs = F.array_distinct(F.transform("near", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))
-    together = (
-        found.select(F.explode(pairs).alias("p")).groupBy("p.entity", "p.term")
-        .agg(F.count(F.lit(1)).alias("n_ct")).where(F.col("n_ct") >= support)
+    together = keep(
+        found.select(F.explode(pairs).alias("p")).groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("n_ct"))
     )
-    together = keep(together)
     by_entity = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
     by_term = term_counts(docs, together.select("term").distinct())
     joined = together.join(by_entity, "entity").join(by_term, "term").join(F.broadcast(total))
     information = F.log(F.col("n") / F.col("n_c"))
     share = F.log(F.col("n_ct") * F.col("n") / (F.col("n_c") * F.col("n_t"))) / F.nullif(information, F.lit(0.0))
-    return joined.select("entity", "term", share.alias("share")).where(F.col("share") >= least)
+    evident = _log_chance(F.col("n_ct"), F.col("n_c") * F.col("n_t") / F.col("n")) <= F.log(F.lit(float(chance)))
+    return joined.where(evident).select("entity", "term", share.alias("share")).where(F.col("share") >= least)
 
 
-def spans(docs: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+def _log_chance(seen: Column, expected: Column) -> Column:
+    """Upper bound of the log-probability of `seen` or more events where `expected` come by chance (Markov, Chernoff)."""
+    ratio = F.log(expected / seen)
+    chernoff = F.when(seen > expected, seen - expected + seen * ratio).otherwise(F.lit(0.0))
+    return F.least(ratio, chernoff, F.lit(0.0))
+
+
+def spans(docs: DataFrame, chance: float = CHANCE, least: float = GENERALISE) -> DataFrame:
     """doc_id, key, base (start, end, kind) and terms (start, end, term, share) of every row."""
     found = keep(find(docs).withColumn("row", F.monotonically_increasing_id()))
-    telling = broadcast_if_small(keep(disclosures(found, docs, support, least)))
+    telling = broadcast_if_small(keep(disclosures(found, docs, chance, least)))
     terms = (
         found.select("row", F.explode("near").alias("t")).select("row", "t.*")
         .join(telling, ["entity", "term"]).groupBy("row", "start", "end", "term").agg(F.max("share").alias("share"))
@@ -188,7 +196,7 @@ def _cut(text: str | None, cuts: list[dict] | None) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame, support: int = SUPPORT, least: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def sanitise(docs: DataFrame, chance: float = CHANCE, least: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """The same rows and columns with base values replaced by their kind, and telling terms by `[word]` or nothing.
 
     Rows meet their spans by id and text; only rows with spans take part in that join's other side.
@@ -200,7 +208,7 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, least: float = GENERALISE,
 
     base = F.transform("base", lambda s: cut(s, F.concat(F.lit("<"), s["kind"], F.lit(">"))))
     terms = F.transform("terms", lambda s: cut(s, F.when(s["share"] >= remove, F.lit("")).otherwise(F.lit("[word]"))))
-    marked = spans(docs, support, least).select(
+    marked = spans(docs, chance, least).select(
         F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.sort_array(F.concat(base, terms)).alias("_cuts")
     )
     some = marked.where(F.size("_cuts") > 0).dropDuplicates(["_id", "_key"])

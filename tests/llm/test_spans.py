@@ -152,6 +152,14 @@ def test_shares_equal_brute_force(spark, telling):
     assert len(got) == len(set().union(*near))
 
 
+def test_rare_pairs_are_judged_by_chance(spark):
+    """A rare name beside an entity that occurs once discloses it; a stray word beside a frequent entity does not."""
+    rows = [(i, f"ordinary words of a letter {'to all@site.org' if i % 3 else 'to nobody'}") for i in range(60)]
+    rows += [(60, "ordinary words by Quillfeather at one@site.org"), (61, "ordinary stray words to all@site.org")]
+    found = {row["doc_id"]: [t["term"] for t in row["terms"]] for row in pii.spans(odd_documents(spark, rows)).collect()}
+    assert found[60] == ["quillfeather"] and found[61] == [] and found[1] == []
+
+
 def test_sanitised_texts(telling):
     rows = pii.sanitise(telling).collect()
     assert all("@" not in (r["text"] or "") and "zyxwort" not in (r["text"] or "") for r in rows)
