@@ -160,6 +160,22 @@ def test_rare_pairs_are_judged_by_chance(spark):
     assert found[60] == ["quillfeather"] and found[61] == [] and found[1] == []
 
 
+def test_telling_terms_far_from_their_entity(spark):
+    """Pairs are of whole documents, letters of any script, and a telling term is marked wherever it stands."""
+    names = ["Quillfeather", "Παπαδόπουλος", "Щербаков", "张伟", "mk7731"]
+    rows = [(i, f"ordinary words of a letter {'x' * (i % 5)}") for i in range(2000)]
+    rows += [(2000 + i, f"words by {name}. {'ordinary words of a letter ' * 200} to one{i}@site.org") for i, name in enumerate(names)]
+    rows += [(3000, "words of a letter by QUILLFEATHER and of щербаков, quillfeathers")]
+    docs = odd_documents(spark, rows)
+    found = {row["doc_id"]: [(t["term"], t["start"]) for t in row["terms"]] for row in pii.spans(docs).collect()}
+    for i, name in enumerate(names):
+        assert found[2000 + i] == [(name.casefold(), 9)]
+    assert found[3000] == [("quillfeather", 21), ("щербаков", 41)]
+    assert all(not found[i] for i in range(2000))
+    sanitised = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert "QUILL" not in sanitised[3000] and "щерб" not in sanitised[3000] and len(sanitised) == len(rows)
+
+
 def test_sanitised_texts(telling):
     rows = pii.sanitise(telling).collect()
     assert all("@" not in (r["text"] or "") and "zyxwort" not in (r["text"] or "") for r in rows)
