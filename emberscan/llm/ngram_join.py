@@ -42,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.guards import broadcast_if_small
@@ -172,13 +172,13 @@ def _class_of(elements: np.ndarray) -> int:
 
 
 def hashed_words(docs: DataFrame) -> DataFrame:
-    """doc_id and the hashes of its words, A-Z lower-cased."""
+    """doc_id, the hashes of its words, A-Z lower-cased, and key, a hash of its text."""
     found = F.transform(words(lower_ascii(text_of(docs))), lambda w: F.xxhash64(w))
-    return docs.select("doc_id", found.alias("hashes"))
+    return docs.select("doc_id", found.alias("hashes"), F.xxhash64("text").alias("key"))
 
 
 def classes(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, class (null for an empty set) for every row."""
+    """doc_id, key, n_shingles, class (null for an empty set) for every row."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,10 +186,10 @@ def classes(docs: DataFrame, n: int) -> DataFrame:
             for elements in _sets(batch, 1, n):
                 sizes.append(len(elements))
                 names.append(_class_of(elements) if len(elements) else None)
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64())]
-            yield pa.record_batch(columns, names=["doc_id", "n_shingles", "class"])
+            columns = [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(names, pa.int64())]
+            yield pa.record_batch(columns, names=["doc_id", "key", "n_shingles", "class"])
 
-    return hashed_words(docs).mapInArrow(of, "doc_id long, n_shingles long, class long")
+    return hashed_words(docs).mapInArrow(of, "doc_id long, key long, n_shingles long, class long")
 
 
 def signature_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -342,8 +342,8 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     return grouped.mapInArrow(compare, "a long, b long")
 
 
-def join_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of docs; linked when 100 * common >= percent * union."""
+def grouped_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, key, n_shingles, class, _group (null for an empty set) for every row of docs; see `join_components`."""
 
     slim = docs.select("doc_id", "text")
 
@@ -377,7 +377,12 @@ def join_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     owners = broadcast_if_small(keep(tied.join(sizes, "family")))
     links = _links(found.join(owners, "class"), percent)
     linked = components(links).select(F.col("node").alias("class"), F.col("component").alias("_group"))
-    grouped = named.join(linked, "class", "left").withColumn("_group", F.coalesce("_group", "class"))
+    return named.join(linked, "class", "left").withColumn("_group", F.coalesce("_group", "class"))
+
+
+def join_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of docs; linked when 100 * common >= percent * union."""
+    grouped = grouped_rows(docs, n, percent)
     least = grouped.where("class is not null").groupBy("_group").agg(F.min("doc_id").alias("component_id"))
     return grouped.join(least, "_group", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
@@ -385,11 +390,26 @@ def join_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The rows whose id is the least of its component, with their own columns.
+    """One row of each component, with its own columns: the first by id, null ids last, and then by text.
 
-    Rows that repeat an id are one document and the first by text stays; rows with a null id
-    stay, and so does every document whose set is empty.
+    Every row whose set is empty stays. Rows are told apart by id and text; where several rows of a
+    component have its least id, the first text is a partial minimum, so no component is gathered.
     """
-    judged = join_components(docs.select("doc_id", "text"), n, percent)
-    gone = judged.where("doc_id > component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
+    grouped = keep(grouped_rows(docs.select("doc_id", "text"), n, percent).where("class is not null"))
+    least = grouped.groupBy("_group").agg(F.min("doc_id").alias("_least"))
+    judged = grouped.join(least, "_group").select(
+        F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "_group",
+        F.col("doc_id").eqNullSafe(F.col("_least")).alias("_first"),
+    )
+    judged = keep(judged)
+    several = judged.where("_first").groupBy("_group").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    ties = keep(judged.where("_first").join(several, "_group").select("_id", "_key", "_group").distinct())
+    leaving = keep(judged.where("not _first").select("_id", "_key").distinct().union(ties.select("_id", "_key")))
+
+    def same(marked: DataFrame) -> Column:
+        return docs["doc_id"].eqNullSafe(marked["_id"]) & (F.xxhash64(docs["text"]) == marked["_key"])
+
+    leaving, ties = broadcast_if_small(leaving), broadcast_if_small(ties)
+    firsts = docs.join(ties, same(ties)).select("_group", *(docs[name] for name in docs.columns)).groupBy("_group")
+    firsts = firsts.agg(F.min_by(F.struct(*docs.columns), "text").alias("_row")).select("_row.*")
+    return docs.join(leaving, same(leaving), "left_anti").union(firsts)

@@ -119,6 +119,18 @@ def test_one_of_each(spark):
     assert kept.columns == odd_documents(spark, []).columns
 
 
+def test_one_of_each_with_repeated_and_null_ids(spark):
+    """Rows, not ids, are kept or dropped."""
+    copied, alone, near = "a b c d e f g", "a clean text that stands nowhere else", "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10"
+    rows = [(1, "equal rows are one document"), (1, "equal rows are one document"), (1, "equal rows are one document"),
+            (2, copied), (3, copied), (3, alone), (4, near), (4, near.upper()),
+            (None, copied), (None, "copies without any id"), (None, "copies without any id"), (None, None), (None, None)]
+    kept = ngram_join.one_of_each(odd_documents(spark, rows), 5, 80).collect()
+    assert sorted(((r["doc_id"] or 0), r["text"] or "") for r in kept) == sorted(
+        [(1, "equal rows are one document"), (2, copied), (3, alone), (4, near.upper()), (0, "copies without any id"), (0, ""), (0, "")]
+    )
+
+
 def test_empty_tables(spark):
     assert ngram_join.join_components(odd_documents(spark, []), 3, 90).count() == 0
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
