@@ -102,6 +102,35 @@ def test_constants_reach_names():
     assert secret_scan.spans_of(None) == [] == secret_scan.spans_of("")
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["db_pwd=§Xk29fjQ0aa71§\nhost=db", "passphrase: §9f8aQx71kkPz§\n", "private_key = §Xk29fjQ0aa71§",
+     "--db-pwd=§Xk29fjQ0aa71§ --verbose", 'pwd: str = "§kf8Jd9s0Qw2z§"', 'pwd: Optional[str] = "§kf8Jd9s0Qw2z§"',
+     'pwd: str | None = "§kf8Jd9s0Qw2z§"', 'var pwd string = "§kf8Jd9s0Qw2z§"', 'const pwd: string = "§kf8Jd9s0Qw2z§"',
+     'config["db_pwd"] = "§kf8Jd9s0Qw2z§"', "config['a'][ 'db_pwd' ] = '§kf8Jd9s0Qw2z§'", 'char pwd[16] = "§kf8Jd9s0Qw2z§"',
+     'passphrase = "§correct horse battery staple§"', f'pwd_{"of_a_long_name_" * 9}x = "§kf8Jd9s0Qw2z§"',
+     "first=§Xk29fjQ0aa71§\npwd=first"],
+)
+def test_syntaxes_of_assignments(text):
+    before, value, _ = text.split("§")
+    assert secret_scan.literal_spans(text.replace("§", ""), []) == [(len(before), len(before) + len(value), "literal")]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["pwd = get_current_value()", "pwd = config.database.pwd", "pwd: SecretStr = Field(1)", "pwd = os.environ[name]",
+     "pwd = stored_password", 'title: "a walk", pwd = x', 'note = "correct horse battery staple"'],
+)
+def test_code_and_names_are_no_literals(text):
+    assert secret_scan.literal_spans(text, []) == []
+
+
+def test_names_take_linear_time():
+    for text in ("a" * 400_000 + '="', "[" * 200_000 + "]" * 200_000 + "=x", "a]=" * 100_000, ":" * 200_000 + "=x", "| " * 200_000 + "=x",
+                 "[a] " * 100_000 + "=x", "pwd: a[b, c] = " * 50_000, " " * 400_000 + "=x", "x |" * 100_000 + "=y"):
+        secret_scan.spans_of(text)
+
+
 def test_redaction(spark):
     docs = odd_documents(spark, [(1, "my token = abcdefgh123 ok"), (2, "plain"), (3, None)])
     rows = {r["doc_id"]: r for r in secret_scan.redact(docs).collect()}
