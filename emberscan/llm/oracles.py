@@ -152,6 +152,73 @@ select v.vec_id, coalesce(n_links, 0) as n_links, component_id, v.vec_id = compo
 from v join least_id using (r) left join counts using (r)
 """
 
+_AUDIT = f"""
+with recursive d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t from documents),
+w as (select *, regexp_extract_all(t, '{_WORD}') as words, min(doc_id) over (partition by t) as first from d),
+l as (select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+  from labels group by doc_id),
+f as (select part, case when len(words) < 50 then 1 else 0 end
+  + case when 100 * len(list_distinct(words)) < 65 * len(words) then 2 else 0 end
+  + case when 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t) then 4 else 0 end
+  + case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end
+  + case when doc_id > first then 16 else 0 end as failed,
+  coalesce(good, 0) as good, coalesce(toxic, 0) as toxic from w left join l using (doc_id)),
+g as (select part, failed, count(*) as n, sum(good) as good, sum(toxic) as toxic from f group by part, failed),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as letter, unnest([1, 2, 4, 8, 16]) as bit),
+o as (select letter as filter_order, bit as mask from letters
+  union all select filter_order || letter, mask + bit from o join letters on (mask & bit) = 0),
+s as (select filter_order, k as step, bit, list_sum([case letter_at when 'A' then 1 when 'B' then 2 when 'C' then 4
+    when 'D' then 8 else 16 end for letter_at in string_split(substr(filter_order, 1, k - 1), '') if letter_at <> '']) as before
+  from o, range(1, 6) as r(k) join letters on letter = substr(filter_order, k, 1) where length(filter_order) = 5),
+c as (select part, filter_order, cast(step as integer) as step, bit,
+  sum(case when (failed & (coalesce(before, 0) | bit)) = 0 then n else 0 end) as kept,
+  sum(case when (failed & coalesce(before, 0)) = 0 and (failed & bit) > 0 then n else 0 end) as removed,
+  sum(case when (failed & coalesce(before, 0)) > 0 and (failed & bit) > 0 then n else 0 end) as redundant,
+  sum(case when failed = bit then n else 0 end) as unique_fails,
+  sum(case when (failed & coalesce(before, 0)) = 0 and (failed & bit) > 0 then good else 0 end) as good_lost,
+  sum(case when (failed & coalesce(before, 0)) = 0 and (failed & bit) > 0 then toxic else 0 end) as toxic_lost
+  from g, s group by part, filter_order, step, bit)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+  cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+  cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+  cast(sum(removed) over (partition by part, bit) as bigint) as shapley from c
+"""
+
+_PASSAGES = f"""
+with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') as w from documents),
+s as (select r, doc_id, i, md5(array_to_string(w[i:i+49], ' ')) as h
+  from (select r, doc_id, w, unnest(range(1, len(w) - 48)) as i from d)),
+known as (select r, i from (select r, doc_id, i, min(doc_id) over (partition by h) as first from s) where first < doc_id),
+gone as (select r, list(distinct i + k) as ctr from known, range(50) as x(k) group by r),
+k as (select doc_id, len(w) as n_words, len(coalesce(ctr, [])) as n_removed,
+  case when ctr is null then w else list_filter(w, lambda x, i: not list_contains(ctr, i)) end as kept
+  from d left join gone using (r))
+select doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) as kept_sha256 from k
+"""
+
+
+def _clusters(rounds: int = 3) -> str:
+    steps = ["""
+with v as (select row_number() over () as r, vec_id, [cast(floor(64 * cast(x as double)) as bigint) for x in embedding] as v
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+c0 as materialized (select row_number() over (order by h nulls last, v) - 1 as c, v as ctr
+  from (select sha256('1:' || vec_id) as h, v from v order by h nulls last, v limit 16))"""]
+    for n in range(rounds + 1):
+        steps.append(f"""
+a{n} as materialized (select r, vec_id, v, min(d * 16 + c) % 16 as c, min(d * 16 + c) // 16 as d from (select r, vec_id, v, c,
+  cast(list_sum([(p[1] - p[2]) * (p[1] - p[2]) for p in list_zip(v, ctr)]) as bigint) as d from v, c{n})
+  group by r, vec_id, v)""")
+        steps.append(f"""
+c{n + 1} as materialized (select c, coalesce(moved, ctr) as ctr from c{n} left join (select c, list(m order by i) as moved from
+  (select c, i, (s - (((s % n) + n) % n)) // n as m from (select c, i, cast(sum(v[i]) as bigint) as s, count(*) as n
+  from a{n}, range(1, 65) as x(i) group by c, i)) group by c) using (c))""")
+    last = f"a{rounds}"
+    return ",".join(steps) + f"""
+select vec_id, cast({last}.c as integer) as cluster, d as distance,
+  cast(sum(d) over (partition by {last}.c) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia,
+  sha256(array_to_string(ctr, ',')) as centroid_sha256 from {last} join c{rounds} on c{rounds}.c = {last}.c
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -161,4 +228,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_ngram_join": _NGRAMS,
         "op9_chat_formatting": _CHAT,
         "op10_embedding_dedup": _VECTORS,
+        "op11_filter_audit": _AUDIT,
+        "op12_substring_dedup": _PASSAGES,
+        "op13_centroid_clustering": _clusters(),
     }

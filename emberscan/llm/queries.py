@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (
+    centroids,
     chat,
     embedding_dedup,
+    filter_audit,
     mixing,
     ngram_join,
     packing,
+    passages,
     pii,
     quality,
     secret_scan,
@@ -153,3 +156,19 @@ def op9_chat_formatting(spark, sf_dir):
 @query
 def op10_embedding_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_substring_dedup(spark, sf_dir):
+    return passages.digests(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_centroid_clustering(spark, sf_dir):
+    found = centroids.cluster(_table(spark, sf_dir, "embeddings"), clusters=16, rounds=3, dimensions=64, scale=64)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
