@@ -9,7 +9,7 @@ anchor travel as one row, the windows as hashes.
 1. A task indexes the windows it reads by their first document. Windows known from a smaller id within
    the task are settled; only the others leave it. A passage that a third of all documents
    hold therefore leaves each task once.
-2. Blocks with more than `BLOCK` windows are dealt over several tasks, window by window.
+2. Blocks with more than `BLOCK` windows, counted beforehand, are dealt over several tasks, window by window.
 3. In a block, the index names each window's first source (document, place). Parsing goes greedily
    from left to right: a factor follows one source for as long as that source goes on. As an indexed
    phrase is `window` words long, every factor is long enough, and the next factor starts inside the
@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -126,18 +127,19 @@ def _firsts(block: np.ndarray, window: np.ndarray, doc: np.ndarray, at: np.ndarr
     return first
 
 
-def _factors(doc, key, at, source, source_at, window: int) -> list[pa.Array]:
-    """Maximal runs of known windows that follow one source, as doc_id, key, start, length, source, source_start."""
+def _factors(doc, key, at, source, source_at, window: int) -> list[np.ndarray]:
+    """Maximal runs of known windows that follow one source: doc_id, key, start, length, source, source_start."""
     order = np.lexsort((at, key, doc))
     doc, key, at, source, source_at = (c[order] for c in (doc, key, at, source, source_at))
     starts = _runs(doc, key, source, steps=(at, source_at))
     lengths = np.diff(np.append(starts, len(doc))) + window - 1
-    return [pa.array(c) for c in (doc[starts], key[starts], at[starts], lengths.astype(np.int64), source[starts], source_at[starts])]
+    return [doc[starts], key[starts], at[starts], lengths.astype(np.int64), source[starts], source_at[starts]]
 
 
 _FACTOR = "doc_id long, key long, start long, length long, source long, source_start long"
 _FACTOR_NAMES = ["doc_id", "key", "start", "length", "source", "source_start"]
-_ROW = f"{_FACTOR}, anchor long, windows array<long>"
+_ROW = "anchor long, doc_id long, key long, start long, windows array<long>"
+_ROW_NAMES = ["anchor", "doc_id", "key", "start", "windows"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -145,36 +147,59 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(text).alias("key"), text.alias("text"))
 
 
+def _hashed(batch: pa.RecordBatch, hasher: WordHashes, window: int, gram: int) -> Iterator[tuple]:
+    """doc_id, key, the words' hashes and the windows' anchors of the texts that have a window."""
+    for doc, key, text in zip(*(c.to_pylist() for c in batch.columns)):
+        hashes = hasher.of(text)
+        if len(hashes) >= window:
+            yield doc, key, hashes, anchors(hashes, window, gram)
+
+
+def anchor_sizes(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    """anchor and its number of windows, in parts of a task."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHashes()
+        for batch in batches:
+            found = [near for *_, near in _hashed(batch, hasher, window, gram)]
+            if found:
+                names, sizes = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.record_batch([pa.array(names.view(np.int64)), pa.array(sizes)], names=["anchor", "size"])
+
+    return _keyed(docs).where("doc_id is not null").mapInArrow(count, "anchor long, size long")
+
+
 def window_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """Factors a task can settle (no anchor), and runs of windows it cannot (anchor, start, windows)."""
+    """Runs of windows that a task cannot settle (anchor, start, windows), and factors that it can.
+
+    A factor has no anchor, and its length, source and source_start for windows.
+    """
 
     def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         anchor, hashed, doc, key, at = (np.concatenate(c) for c in zip(*held))
         first = _firsts(anchor, hashed, doc, at)
         known = doc[first] < doc
-        none = pa.nulls
         if known.any():
             found = first[known]
-            made = _factors(doc[known], key[known], at[known], doc[found], at[found], window)
-            count = len(made[0])
-            yield pa.record_batch([*made, none(count, pa.int64()), none(count, pa.list_(pa.int64()))], names=[*_FACTOR_NAMES, "anchor", "windows"])
-        open_ = np.flatnonzero(~known)
-        starts = _runs(anchor[open_], doc[open_], key[open_], steps=(at[open_],))
-        heads, count = open_[starts], len(starts)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(open_)).astype(np.int32)), pa.array(hashed[open_].view(np.int64)))
-        columns = [*(pa.array(c[heads]) for c in (doc, key, at)), *(none(count, pa.int64()) for _ in range(3))]
-        yield pa.record_batch([*columns, pa.array(anchor[heads].view(np.int64)), lists], names=[*_FACTOR_NAMES, "anchor", "windows"])
+            *place, length, source, source_at = _factors(doc[known], key[known], at[known], doc[found], at[found], window)
+            count = len(length)
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.arange(count + 1, dtype=np.int32) * 3), pa.array(np.stack([length, source, source_at], axis=1).ravel())
+            )
+            yield pa.record_batch([pa.nulls(count, pa.int64()), *place, lists], names=_ROW_NAMES)
+        left = np.flatnonzero(~known)
+        starts = _runs(anchor[left], doc[left], key[left], steps=(at[left],))
+        heads = left[starts]
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(left)).astype(np.int32)), pa.array(hashed[left].view(np.int64)))
+        columns = [pa.array(c[heads]) for c in (anchor.view(np.int64), doc, key, at)]
+        yield pa.record_batch([*columns, lists], names=_ROW_NAMES)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, held, size = WordHashes(), [], 0
         for batch in batches:
-            for doc, key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                hashes = hasher.of(text)
-                count = len(hashes) - window + 1
-                if count <= 0:
-                    continue
-                same = (np.full(count, doc), np.full(count, key), np.arange(count))
-                held.append((anchors(hashes, window, gram), rolling(hashes, window, 29), *same))
+            for doc, key, hashes, near in _hashed(batch, hasher, window, gram):
+                count = len(near)
+                held.append((near, rolling(hashes, window, 29), np.full(count, doc), np.full(count, key), np.arange(count)))
                 size += count
                 if size >= HELD:
                     yield from settle(held)
@@ -187,17 +212,15 @@ def window_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 def factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, key (hash of the text), start, length, source, source_start of every factor, in words."""
-    rows = keep(window_rows(docs, window, gram))
-    asking = rows.where("anchor is not null").select("anchor", "doc_id", "key", "start", "windows")
-    sizes = asking.groupBy("anchor").agg(F.sum(F.size("windows")).alias("_size"))
-    hot = sizes.where(F.col("_size") > BLOCK).select("anchor", F.ceil(F.col("_size") / BLOCK).alias("_parts"))
+    sizes = anchor_sizes(docs, window, gram).groupBy("anchor").agg(F.sum("size").alias("_size"))
+    hot = sizes.where(F.col("_size") > BLOCK).select(F.col("anchor").alias("_hot"), F.ceil(F.col("_size") / BLOCK).alias("_parts"))
     hot = broadcast_if_small(keep(hot))
-    cold = asking.join(hot, "anchor", "left_anti").withColumn("part", F.lit(0).cast("bigint"))
-    one = F.posexplode("windows").alias("_i", "_window")
-    spread = asking.join(hot, "anchor").select("anchor", "doc_id", "key", "start", "_parts", one).select(
-        "anchor", "doc_id", "key", (F.col("start") + F.col("_i")).alias("start"), F.array("_window").alias("windows"),
-        F.pmod("_window", "_parts").alias("part"),
-    )
+    met = window_rows(docs, window, gram).join(hot, F.col("anchor") == F.col("_hot"), "left")
+    # A hot block's windows go out one by one, each to its part; all other rows whole. Settled factors pass by.
+    alone = F.transform("windows", lambda w, i: F.struct(F.pmod(w, F.col("_parts")).alias("part"), (F.col("start") + i).alias("start"), F.array(w).alias("windows")))
+    whole = F.array(F.struct(F.lit(0).cast("bigint").alias("part"), "start", "windows"))
+    spread = met.select("anchor", "doc_id", "key", F.inline(F.when(F.col("_parts").isNull(), whole).otherwise(alone)))
+    slim = spread.select("anchor", "part", "doc_id", "key", "start", "windows")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
@@ -210,9 +233,16 @@ def factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
                 return None
             found = first[known]
             made = _factors(doc[known], key[known], at[known], doc[found], at[found], window)
-            return pa.record_batch(made, names=_FACTOR_NAMES)
+            return pa.record_batch([pa.array(c) for c in made], names=_FACTOR_NAMES)
 
         for batch in batches:
+            settled = pc.is_null(batch.column(0))
+            if pc.any(settled).as_py():
+                done = batch.filter(settled)
+                numbers = np.asarray(done.column(5).flatten()).reshape(-1, 3)
+                columns = [done.column(2), done.column(3), done.column(4), *(pa.array(np.ascontiguousarray(c)) for c in numbers.T)]
+                yield pa.record_batch(columns, names=_FACTOR_NAMES)
+                batch = batch.filter(pc.invert(settled))
             anchor, part, doc, key, start = (np.asarray(batch.column(c)) for c in range(5))
             sizes = np.asarray(batch.column(5).value_lengths()).astype(np.int64)
             hashed = np.asarray(batch.column(5).flatten())
@@ -239,11 +269,8 @@ def factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
         if held and (out := parsed()) is not None:
             yield out
 
-    slim = cold.select("anchor", "part", "doc_id", "key", "start", "windows").union(
-        spread.select("anchor", "part", "doc_id", "key", "start", "windows")
-    )
-    met = slim.repartition("anchor", "part").sortWithinPartitions("anchor", "part").mapInArrow(parse, _FACTOR)
-    return rows.where("anchor is null").select(*_FACTOR_NAMES).union(met)
+    block = F.coalesce("anchor", F.xxhash64("doc_id", "start"))
+    return slim.repartition(block, "part").sortWithinPartitions("anchor", "part").mapInArrow(parse, _FACTOR)
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
