@@ -1,7 +1,7 @@
 """Hotspot inputs derived from the given tables.
 
-Each event becomes a detection, each nation a regency (most with an octagonal
-boundary), each region a province. The detection expressions are SQL text that
+Each event becomes a detection, each nation a regency with an octagonal boundary
+(some under a name no regency has), each region a province. The detection expressions are SQL text that
 means the same in Spark and in DuckDB, so results can be compared.
 """
 
@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from .functions.keys import admin_name_key
 
-CELL_SIZE = 1.0
-
 # --- Fixed values: the fixture's definition ----------------------------------
 DETECTION_SQL = {
     "event_id": "event_id",
@@ -36,6 +34,10 @@ DETECTION_SQL = {
     "daynight": "case when hour(ts) between 6 and 17 then 'D' else 'N' end",
     "type": "case when event_id%5<4 then event_id%5 end",
 }
+BOUNDARY_NAME_SQL = (
+    "concat(case when n_nationkey % 2 = 1 then '' else 'Kota ' end, n_name,"
+    " case when n_nationkey % 7 = 6 then '_LAMA' else '' end)"
+)
 # Octagon corners as fractions of a 9 by 3 degree cell, counter-clockwise.
 CORNERS = [
     (0.25, 0.0), (0.75, 0.0), (1.0, 0.25), (1.0, 0.75),
@@ -48,16 +50,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input stored as fewer splits than that; larger inputs pass untouched."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw detections, one per event."""
-    events = spread(table(spark, sf_dir, "events").drop("props"))
-    return events.selectExpr(*[f"{sql} as {name}" for name, sql in DETECTION_SQL.items()])
+    return table(spark, sf_dir, "events").selectExpr(*[f"{sql} as {name}" for name, sql in DETECTION_SQL.items()])
 
 
 def regencies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,14 +70,13 @@ def provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One octagon per nation; every seventh nation has none."""
+    """One octagon per nation; every seventh bears a name that no regency has."""
     ring = ", ".join(f"named_struct('x', x0 + 9 * {x!r}d, 'y', y0 + 3 * {y!r}d)" for x, y in CORNERS)
     return (
         table(spark, sf_dir, "nation")
-        .where("n_nationkey % 7 <> 6")
         .selectExpr(
             "cast(n_nationkey as bigint) as boundary_id",
-            "case when n_nationkey % 2 = 1 then n_name else concat('Kota ', n_name) end as WADMKK",
+            f"{BOUNDARY_NAME_SQL} as WADMKK",
             "cast(n_regionkey as string) as WADMPR",
             "95e0 + 9 * (n_nationkey % 5) as x0",
             "-10e0 + 3 * floor(n_nationkey / 5) as y0",
@@ -93,3 +87,17 @@ def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.expr(f"array(array({ring}))").alias("rings"),
         )
     )
+
+
+def overlapping_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per region a multipolygon: a rectangle that reaches into the next one's, with a hole, and an island in the hole."""
+    def box(west: str, south: str, east: str, north: str) -> str:
+        corners = ((west, south), (east, south), (east, north), (west, north))
+        return "array(" + ", ".join(f"named_struct('x', cast({x} as double), 'y', cast({y} as double))" for x, y in corners) + ")"
+
+    rings = [box("x0", "-10", "x0 + 11", "5"), box("x0 + 3", "-6", "x0 + 7", "1"), box("x0 + 4", "-4", "x0 + 6", "-2")]
+    return (
+        table(spark, sf_dir, "region")
+        .selectExpr("cast(r_regionkey as bigint) as boundary_id", "r_name as province_name", "95e0 + 9 * r_regionkey as x0")
+        .selectExpr("boundary_id", "province_name", f"array({', '.join(rings)}) as rings")
+    )

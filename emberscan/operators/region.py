@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from ..constants import REJECT_REASON
 from ..functions.coerce import lenient_date, lenient_double, lenient_long
 from ..functions.keys import admin_name_key
-from ..session import materialise
 from .guards import require_unique
-from .spatial import build_cell_index, choose_cell_size, locate_points
+from .spatial import EDGES_PER_CELL, Grid, build_cell_index, locate_points
 
 
 def coerce_coordinates(raw: DataFrame) -> DataFrame:
@@ -63,18 +62,18 @@ def resolve_boundaries(boundaries: DataFrame, regencies: DataFrame) -> DataFrame
     return boundaries.join(keyed, "regency_key", "left")
 
 
-def region_index(boundaries: DataFrame, regencies: DataFrame, cell_size: float | None = None) -> tuple[DataFrame, float]:
-    """Cell index with regency ids, and its cell size.
+def region_index(
+    boundaries: DataFrame, regencies: DataFrame, path: str | None = None, budget: int = EDGES_PER_CELL
+) -> tuple[DataFrame, Grid]:
+    """Cell index with regency ids, written to `path` or a scratch folder, and its grid.
 
-    The index is written out once: it is measured, then joined, often many times.
+    Boundaries change rarely, points arrive daily: the index is written once and joined often.
     """
-    size = cell_size or choose_cell_size(boundaries)
-    index = build_cell_index(resolve_boundaries(boundaries, regencies), ["regency_id"], size)
-    return materialise(index, "index"), size
+    return build_cell_index(resolve_boundaries(boundaries, regencies), ["regency_id"], budget=budget, path=path)
 
 
 def attach_regency(
-    raw: DataFrame, index: DataFrame, cell_size: float, on_multiple: str = "first", **options
+    raw: DataFrame, index: DataFrame, grid: Grid, on_multiple: str = "first", **options
 ) -> DataFrame:
     """Valid points with `regency_id`, null where no boundary or no regency matches."""
-    return locate_points(valid_points(raw.drop("regency_id")), index, cell_size, on_multiple, **options)
+    return locate_points(valid_points(raw.drop("regency_id")), index, grid, on_multiple, **options)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import storage
 from ..operators import incremental, quality
 from ..operators.region import attach_regency, normalise_types, rejected_points
+from ..operators.spatial import Grid
 from ..schemas import STREAM_ENRICHED
 from ..sources import discovery, files, lake
 from . import intermediate, marts, staging, star
@@ -24,6 +25,7 @@ class Warehouse:
         return f"{self.root}/{layer}/{table}"
 
 
+GRID = "west double, south double, side double, depths array<int>"
 RAW, STREAM, CORE, MART = "raw", "streaming", "intermediate", "mart"
 
 
@@ -38,7 +40,7 @@ def run_batch(
     lake_root: str,
     day: str,
     index: DataFrame,
-    cell_size: float,
+    grid: Grid,
     on_multiple: str = "first",
     version_mode: str = "int",
 ) -> discovery.SourceReport:
@@ -48,7 +50,7 @@ def run_batch(
     found = discovery.discover(spark, lake_root, day, stream)
     if found.batch_exists:
         rows = spark.read.option("basePath", _table_root(found.batch_source)).parquet(found.batch_source)
-        located = attach_regency(rows.drop("year", "month"), index, cell_size, on_multiple)
+        located = attach_regency(rows.drop("year", "month"), index, grid, on_multiple)
         incremental.replace_date(
             spark, house.path(RAW, "raw_detections"), normalise_types(located, version_mode)
         )
@@ -183,7 +185,12 @@ def run_transform(
     return warnings
 
 
-def save_region_index(index: DataFrame, path: str) -> DataFrame:
-    """Keep the cell index: boundaries change rarely, points arrive daily."""
-    lake.write_plain(index, path)
-    return index.sparkSession.read.schema(index.schema).parquet(path)
+def save_region_index(index: DataFrame, grid: Grid, path: str) -> None:
+    """Keep the cell index and its grid: boundaries change rarely, points arrive daily."""
+    lake.write_plain(index, f"{path}/cells")
+    lake.write_plain(index.sparkSession.createDataFrame([asdict(grid)], GRID), f"{path}/grid")
+
+
+def load_region_index(spark: SparkSession, path: str) -> tuple[DataFrame, Grid]:
+    kept = spark.read.parquet(f"{path}/grid").first()
+    return spark.read.parquet(f"{path}/cells"), Grid(kept["west"], kept["south"], kept["side"], tuple(kept["depths"]))

@@ -15,7 +15,7 @@ _RAW = "raw as (select " + ", ".join(f"{sql} as {name}" for name, sql in adapter
 
 _SHAPES = """
 cells as (select n_nationkey as regency_id, 95e0+9*(n_nationkey%5) as x0, -10e0+3*floor(n_nationkey/5) as y0
-  from nation where n_nationkey%7<>6),
+  from nation),
 corner(k, fx, fy) as (values (0,0.25e0,0e0),(1,0.75e0,0e0),(2,1e0,0.25e0),(3,1e0,0.75e0),
   (4,0.75e0,1e0),(5,0.25e0,1e0),(6,0e0,0.75e0),(7,0e0,0.25e0)),
 vx as (select regency_id, k, x0+9*fx as x, y0+3*fy as y from cells, corner),
@@ -38,7 +38,8 @@ def _hit(points: str, key: str, name: str = "hit") -> str:
 
 _LOCATED = f"""{_RAW}, {_SHAPES}, {_hit('raw', 'event_id')},
 loc as (select r.*, h.regency_id from raw r left join (
-  select event_id, min(regency_id) as regency_id from hit group by all) h using (event_id))"""
+  select event_id, min(case when regency_id%7<>6 then regency_id end) as regency_id from hit group by event_id) h
+  using (event_id))"""
 
 _ID = (
     "md5(cast(latitude as varchar)||'|'||cast(longitude as varchar)||'|'||cast(acq_date as varchar)||'|'"
@@ -156,10 +157,11 @@ srow as (select event_id, source, source_table, schema_version, '{STREAM_START}'
   end as processing_type from cp)"""
 
 # Copies of an event lie at the same point, so one location per event serves.
-# Stream rows drop events without a satellite: that field is required.
 _ENRICHED = f"""{_STREAM}, {_SHAPES}, spot as (select distinct event_id, latitude, longitude from srow),
 {_hit('spot', 'event_id', 'shit')},
-enr as (select s.*, cast(h.regency_id as bigint) as regency_id from srow s left join shit h using (event_id))"""
+enr as (select s.*, cast(h.regency_id as bigint) as regency_id from srow s left join (
+  select event_id, min(case when regency_id%7<>6 then regency_id end) as regency_id from shit group by event_id) h
+  using (event_id))"""
 
 
 def _staged_stream(source: str) -> str:
@@ -227,8 +229,8 @@ early as (select distinct {_grid(2)} from raw where acq_date<=date '{BASE_UNTIL}
 fresh as (select * from pts except select * from early)"""
 
 _NAMES = """
-bnd as (select case when n_nationkey%2=1 then n_name else 'Kota '||n_name end as "WADMKK",
-  cast(n_regionkey as varchar) as "WADMPR" from nation where n_nationkey%7<>6),
+bnd as (select """ + adapter.BOUNDARY_NAME_SQL + """ as "WADMKK",
+  cast(n_regionkey as varchar) as "WADMPR" from nation),
 reg as (select cast(n_nationkey as bigint) as regency_id, cast(n_regionkey as bigint) as province_id,
   case when n_nationkey%2=1 then 'KABUPATEN ' else 'KOTA ' end||n_name as regency_name from nation)"""
 
@@ -237,12 +239,9 @@ def _loose(column: str) -> str:
     return f"regexp_replace(regexp_replace(upper(trim({column})), '^KABUPATEN ', ''), '^KOTA ', '')"
 
 
-def _matched(reg: str = "reg") -> str:
+def _matched() -> str:
     return f"""{_NAMES}, m as (select b.*, {_loose('"WADMKK"')} as match_name, r.regency_id, r.province_id, r.regency_name
-  from bnd b left join {reg} r on {_loose('"WADMKK"')}={_loose('r.regency_name')})"""
-
-
-_ODD = "(select * from reg where regency_name like 'KABUPATEN%')"
+  from bnd b left join reg r on {_loose('"WADMKK"')}={_loose('r.regency_name')})"""
 
 
 def _changed(table: str, day: str, select_base: str, select_new: str, replaced: str) -> str:
@@ -304,23 +303,25 @@ def oracle_sql() -> dict[str, str]:
         f" where acq_date between date '{CHANGES_FROM}' and date '2024-02-15'"
     )
     out["source_discovery"] = (
-        with_ + _RAW + f" select cast(acq_date as varchar) as day, acq_date<=date '{BASE_UNTIL}' as batch_exists,"
-        f" acq_date>=date '{CHANGES_FROM}' as stream_exists from raw group by acq_date"
+        with_ + _RAW + " select cast(acq_date as varchar) as day, day(acq_date)%3<>1 as batch_exists,"
+        " day(acq_date)%3<>2 as stream_exists from raw group by acq_date"
     )
 
-    keyed = """,
-bkey as (select n_nationkey as boundary, case when n_nationkey%2=1 then n_name else 'KOTA_'||n_name end as key
-  from nation where n_nationkey%7<>6),
-rkey as (select n_nationkey as id, case when n_nationkey%2=1 then n_name else 'KOTA_'||n_name end as key from nation)"""
     out["enrich_point_in_polygon"] = (
-        with_ + _LOCATED + keyed + " select event_id, latitude, longitude, cast(id as bigint) as regency_id"
-        " from loc left join bkey on boundary=regency_id left join rkey using (key)"
+        with_ + _LOCATED + " select event_id, latitude, longitude, cast(regency_id as bigint) as regency_id from loc"
     )
     out["enrich_shuffled"] = out["enrich_point_in_polygon"]
     out["enrich_all_matches"] = (
-        with_ + _LOCATED + " select r.event_id, cast(h.regency_id as bigint) as regency_id"
-        " from raw r left join hit h using (event_id)"
-    )
+        with_ + _LOCATED + " select r.event_id, cast(case when h.regency_id%7<>6 then h.regency_id end as bigint)"
+        " as regency_id from raw r left join hit h using (event_id)"
+    )
+    # Rectangles: within the outer one, not inside the hole unless in the island; borders count as inside.
+    out["enrich_overlaps"] = with_ + _RAW + """
+, o as (select cast(r_regionkey as bigint) as boundary_id, r_name as province_name, 95e0+9*r_regionkey as x0 from region),
+h as (select event_id, boundary_id, province_name from raw join o on longitude between x0 and x0+11 and latitude between -10 and 5
+  and (not (longitude>x0+3 and longitude<x0+7 and latitude>-6 and latitude<1)
+    or (longitude between x0+4 and x0+6 and latitude between -4 and -2)))
+select r.event_id, boundary_id, province_name from raw r left join h using (event_id)"""
     centre = "floor(sum(cast(round({0}*1000) as bigint))/count(*))/1000e0"
     out["point_lookup"] = (
         with_ + _RAW + ", " + _SHAPES
@@ -332,14 +333,13 @@ rkey as (select n_nationkey as id, case when n_nationkey%2=1 then n_name else 'K
         " cast(n_regionkey as varchar) as \"WADMPR\" from ctr join found using (k) join nation on n_nationkey=regency_id"
     )
     out["geojson_boundaries"] = (
-        with_ + _SHAPES + """ select case when n_nationkey%2=1 then n_name else 'Kota '||n_name end as "WADMKK",
-  cast(n_regionkey as varchar) as "WADMPR", case when n_nationkey%2=1 then n_name else 'KOTA_'||n_name end as regency_key,
+        with_ + _SHAPES + f""" select {adapter.BOUNDARY_NAME_SQL} as "WADMKK", cast(n_regionkey as varchar) as "WADMPR",
+  replace(replace({adapter.BOUNDARY_NAME_SQL}, 'Kota ', 'KOTA_'), ' ', '') as regency_key,
   count(*)+1 as vertices, min(x) as west, max(y) as north
   from vx join nation on n_nationkey=regency_id group by 1,2,3"""
     )
     out["boundary_profile"] = (
-        "select true as all_valid, 'EPSG:4326' as crs, count(*) as features, 'Polygon' as geometry_types"
-        " from nation where n_nationkey%7<>6"
+        "select true as all_valid, 'EPSG:4326' as crs, count(*) as features, 'Polygon' as geometry_types from nation"
     )
 
     out["quarantine"] = (
@@ -455,9 +455,9 @@ rkey as (select n_nationkey as id, case when n_nationkey%2=1 then n_name else 'K
     out["unresolved_coordinates"] = with_ + _KNOWN + " select * from fresh"
     out["name_match_audit"] = with_ + _matched() + " select * from m"
     out["name_match_counts"] = (
-        with_ + _matched(_ODD) + " select count(regency_id) as matched, count(*)-count(regency_id) as unmatched from m"
+        with_ + _matched() + " select count(regency_id) as matched, count(*)-count(regency_id) as unmatched from m"
     )
-    out["unmatched_names"] = with_ + _matched(_ODD) + ' select "WADMKK", "WADMPR" from m where regency_id is null'
+    out["unmatched_names"] = with_ + _matched() + ' select "WADMKK", "WADMPR" from m where regency_id is null'
     out["parse_location"] = """
 select c_custkey, case when c_mktsegment in ('BUILDING','MACHINERY') then null else n_name end as county,
   case when c_mktsegment in ('BUILDING','MACHINERY') then null else r_name end as state,

@@ -65,8 +65,8 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def located(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """Raw detections with regency ids."""
-    index, size = region_index(adapter.boundaries(spark, sf_dir), adapter.regencies(spark, sf_dir), adapter.CELL_SIZE)
-    return attach_regency(adapter.detections(spark, sf_dir), index, size, **options)
+    index, grid = region_index(adapter.boundaries(spark, sf_dir), adapter.regencies(spark, sf_dir))
+    return attach_regency(adapter.detections(spark, sf_dir), index, grid, **options)
 
 
 def copied_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,8 +83,8 @@ def stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index, size = region_index(adapter.boundaries(spark, sf_dir), adapter.regencies(spark, sf_dir), adapter.CELL_SIZE)
-    return jobs.enrich_rows(stream_rows(spark, sf_dir), index, size)
+    index, grid = region_index(adapter.boundaries(spark, sf_dir), adapter.regencies(spark, sf_dir))
+    return jobs.enrich_rows(stream_rows(spark, sf_dir), index, grid)
 
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,8 +273,9 @@ def date_range_scan(spark, sf_dir):
 
 @query
 def source_discovery(spark, sf_dir):
-    batch = adapter.detections(spark, sf_dir).where(F.col("acq_date") <= F.lit(BASE_UNTIL).cast("date"))
-    stream = stream_rows(spark, sf_dir).where(F.col("acquisition_date") >= F.lit(CHANGES_FROM).cast("date"))
+    """A day in three came by batch alone, one in three by stream alone, the others by both."""
+    batch = adapter.detections(spark, sf_dir).where("day(acq_date) % 3 <> 1")
+    stream = stream_rows(spark, sf_dir).where("day(acquisition_date) % 3 <> 2")
     return discovery.day_sources(batch, stream)
 
 
@@ -299,6 +300,14 @@ def enrich_all_matches(spark, sf_dir):
     return located(spark, sf_dir, on_multiple="all").select("event_id", "regency_id")
 
 
+@query
+def enrich_overlaps(spark, sf_dir):
+    """Every match of each point among overlapping multipolygons with holes and islands, in cells of few edges."""
+    index, grid = build_cell_index(adapter.overlapping_boundaries(spark, sf_dir), ["boundary_id", "province_name"], budget=8)
+    points = adapter.detections(spark, sf_dir).select("event_id", "latitude", "longitude")
+    return locate_points(points, index, grid, on_multiple="all").select("event_id", "boundary_id", "province_name")
+
+
 @query
 def point_lookup(spark, sf_dir):
     """Boundaries that hold the centre of each day-and-confidence group."""
@@ -309,8 +318,8 @@ def point_lookup(spark, sf_dir):
     centres = adapter.detections(spark, sf_dir).groupBy("acq_date", "confidence").agg(
         F.expr(centre("latitude")).alias("latitude"), F.expr(centre("longitude")).alias("longitude")
     )
-    index = build_cell_index(adapter.boundaries(spark, sf_dir), ["WADMKK", "WADMPR"], adapter.CELL_SIZE)
-    return locate_points(centres, index, adapter.CELL_SIZE, keep_unmatched=False)
+    index, grid = build_cell_index(adapter.boundaries(spark, sf_dir), ["WADMKK", "WADMPR"])
+    return locate_points(centres, index, grid, keep_unmatched=False)
 
 
 @query
@@ -620,20 +629,12 @@ def name_match_audit(spark, sf_dir):
 
 @query
 def name_match_counts(spark, sf_dir):
-    """Nations against suppliers' nations: names without a supplier stay unmatched."""
-    matches = audit.name_matches(adapter.boundaries(spark, sf_dir), _odd_regencies(spark, sf_dir))
-    return audit.match_counts(matches)
+    return audit.match_counts(audit.name_matches(adapter.boundaries(spark, sf_dir), adapter.regencies(spark, sf_dir)))
 
 
 @query
 def unmatched_names(spark, sf_dir):
-    return audit.unmatched_names(
-        audit.name_matches(adapter.boundaries(spark, sf_dir), _odd_regencies(spark, sf_dir))
-    )
-
-
-def _odd_regencies(spark, sf_dir):
-    return adapter.regencies(spark, sf_dir).where("regency_name like 'KABUPATEN%'")
+    return audit.unmatched_names(audit.name_matches(adapter.boundaries(spark, sf_dir), adapter.regencies(spark, sf_dir)))
 
 
 @query
@@ -675,7 +676,7 @@ def stream_end_to_end(spark, sf_dir):
 @query
 def stream_enrichment(spark, sf_dir):
     root, raw_path = _streamed_raw(spark, sf_dir)
-    index, size = region_index(adapter.boundaries(spark, sf_dir), adapter.regencies(spark, sf_dir), adapter.CELL_SIZE)
+    index, grid = region_index(adapter.boundaries(spark, sf_dir), adapter.regencies(spark, sf_dir))
     target = f"{root}/enriched"
-    jobs.start_enrichment(spark, raw_path, target, f"{root}/cp_enriched", index, size).awaitTermination()
+    jobs.start_enrichment(spark, raw_path, target, f"{root}/cp_enriched", index, grid).awaitTermination()
     return spark.read.parquet(target).select("event_id", "fire_radiative_power", "regency_id", "acquisition_date")

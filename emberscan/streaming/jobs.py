@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.incremental import append_unseen
 from ..operators.region import attach_regency
+from ..operators.spatial import Grid
 from ..schemas import STREAM_ENRICHED, STREAM_RAW
 from . import events
 
@@ -69,25 +70,25 @@ def start_dead_letter_sink(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def enrich_rows(rows: DataFrame, index: DataFrame, cell_size: float, on_multiple: str = "first") -> DataFrame:
+def enrich_rows(rows: DataFrame, index: DataFrame, grid: Grid, on_multiple: str = "first") -> DataFrame:
     """Stream rows with their regency; rows without usable coordinates are left out."""
-    return attach_regency(rows, index, cell_size, on_multiple).select(*STREAM_ENRICHED.names)
+    return attach_regency(rows, index, grid, on_multiple).select(*STREAM_ENRICHED.names)
 
 
 def enrich_unseen(
-    spark: SparkSession, raw_path: str, enriched_path: str, index: DataFrame, cell_size: float,
+    spark: SparkSession, raw_path: str, enriched_path: str, index: DataFrame, grid: Grid,
     on_multiple: str = "first",
 ) -> int:
     """One pass over the raw table: enrich and append what is not yet enriched. Returns rows appended."""
     raw = spark.read.schema(STREAM_RAW).parquet(raw_path).select(*STREAM_RAW.names)
     return append_unseen(
         spark, enriched_path, raw, "event_id",
-        prepare=lambda fresh: enrich_rows(fresh, index, cell_size, on_multiple),
+        prepare=lambda fresh: enrich_rows(fresh, index, grid, on_multiple),
     )
 
 
 def start_enrichment(
-    spark: SparkSession, raw_path: str, enriched_path: str, checkpoint: str, index: DataFrame, cell_size: float,
+    spark: SparkSession, raw_path: str, enriched_path: str, checkpoint: str, index: DataFrame, grid: Grid,
     on_multiple: str = "first", available_now: bool = True,
 ) -> StreamingQuery:
     """The same as a stream over the raw table: each run reads only new files."""
@@ -95,7 +96,7 @@ def start_enrichment(
     def handle(batch: DataFrame, _batch_id: int) -> None:
         append_unseen(
             batch.sparkSession, enriched_path, batch, "event_id",
-            prepare=lambda fresh: enrich_rows(fresh, index, cell_size, on_multiple),
+            prepare=lambda fresh: enrich_rows(fresh, index, grid, on_multiple),
         )
 
     writer = (

@@ -25,17 +25,18 @@ def house(spark, tmp_path_factory):
     files.write_snapshot(adapter.provinces(spark, SMALL), f"{root}/lake", "province")
     warehouse = runs.Warehouse(f"{root}/house")
     runs.load_references(spark, warehouse, f"{root}/lake")
-    index, size = region_index(
-        adapter.boundaries(spark, SMALL), adapter.regencies(spark, SMALL), adapter.CELL_SIZE
+    runs.save_region_index(
+        *region_index(adapter.boundaries(spark, SMALL), adapter.regencies(spark, SMALL)), f"{root}/index"
     )
+    index, grid = runs.load_region_index(spark, f"{root}/index")
     streamed = detections.where(F.col("acq_date").cast("string") == "2024-01-07")
     events.encode(events.to_events(streamed)).select("value").write.text(f"{root}/messages")
     raw, enriched = (warehouse.path(runs.STREAM, f"fire_detection_nrt_{t}") for t in ("raw", "enriched"))
     jobs.start_raw_sink(jobs.message_files(spark, f"{root}/messages"), raw, f"{root}/cp").awaitTermination()
-    jobs.enrich_unseen(spark, raw, enriched, index, size)
+    jobs.enrich_unseen(spark, raw, enriched, index, grid)
     for day in DAYS:
-        runs.run_batch(spark, warehouse, f"{root}/lake", day, index, size, version_mode="string")
-    return warehouse, f"{root}/lake", index, size, some.count(), streamed.count()
+        runs.run_batch(spark, warehouse, f"{root}/lake", day, index, grid, version_mode="string")
+    return warehouse, f"{root}/lake", index, grid, some.count(), streamed.count()
 
 
 def test_layers_build_and_pass_their_gates(spark, house):
@@ -59,8 +60,8 @@ def test_layers_build_and_pass_their_gates(spark, house):
 
 
 def test_reloading_a_day_changes_nothing(spark, house):
-    warehouse, lake_root, index, size, batch_rows, _ = house
-    report = runs.run_batch(spark, warehouse, lake_root, DAYS[0], index, size, version_mode="string")
+    warehouse, lake_root, index, grid, batch_rows, _ = house
+    report = runs.run_batch(spark, warehouse, lake_root, DAYS[0], index, grid, version_mode="string")
     assert report.batch_exists and not report.stream_exists
     assert spark.read.parquet(warehouse.path(runs.RAW, "raw_detections")).count() == batch_rows
 

@@ -10,7 +10,6 @@ from emberscan.operators.region import attach_regency, rejected_points, region_i
 from emberscan.operators.spatial import (
     boundaries_containing,
     build_cell_index,
-    choose_cell_size,
     locate_points,
 )
 from emberscan.schemas import RING
@@ -57,9 +56,9 @@ def brute(shapes, coordinates):
     return found
 
 
-def located(spark, shapes, coordinates, size, **options):
-    index = build_cell_index(frame(spark, shapes), ["regency_id"], size)
-    rows = locate_points(points(spark, coordinates), index, size, **options).select("i", "regency_id").collect()
+def located(spark, shapes, coordinates, budget, **options):
+    index, grid = build_cell_index(frame(spark, shapes), ["regency_id"], budget=budget)
+    rows = locate_points(points(spark, coordinates), index, grid, **options).select("i", "regency_id").collect()
     return [tuple(r) for r in rows]
 
 
@@ -82,22 +81,22 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("size", [0.3, 1.0])
-def test_borders_holes_and_parts(spark, size):
+@pytest.mark.parametrize("budget", [4, 32])
+def test_borders_holes_and_parts(spark, budget):
     for shapes in (DONUT, PARTS, TWINS):
         cases = [(p, want) for s, p, want in CASES if s is shapes]
-        got = located(spark, shapes, [p for p, _ in cases], size)
+        got = located(spark, shapes, [p for p, _ in cases], budget)
         assert set(got) == {(i, k) for i, (_, want) in enumerate(cases) for k in want}
         assert len(got) == sum(len(w) for _, w in cases)
 
 
 def test_points_that_are_no_place_match_nothing(spark):
     odd = [(float("nan"), 1.0), (1.0, float("nan")), (float("inf"), 1.0), (1e300, -1e300)]
-    assert located(spark, {1: [square(-5, -5, 10)]}, odd, 1.0) == [(i, None) for i in range(4)]
+    assert located(spark, {1: [square(-5, -5, 10)]}, odd, 4) == [(i, None) for i in range(4)]
 
 
 def test_first_match_takes_the_lowest_known_id(spark):
-    assert located(spark, TWINS, [(2.0, 1.0)], 1.0, on_multiple="first") == [(0, 1)]
+    assert located(spark, TWINS, [(2.0, 1.0)], 4, on_multiple="first") == [(0, 1)]
 
 
 def blob(rng, cx, cy, radius, corners):
@@ -110,7 +109,7 @@ def blob(rng, cx, cy, radius, corners):
     ]
 
 
-@pytest.mark.parametrize("seed,size", [(1, 0.1), (2, 0.7)])
+@pytest.mark.parametrize("seed,size", [(1, 6), (2, 40)])
 def test_random_polygons_match_brute_force(spark, seed, size):
     rng = random.Random(seed)
     shapes = {}
@@ -136,8 +135,8 @@ def test_grid_aligned_shapes_match_brute_force(spark):
     """Vertices and edges exactly on cell lines, points too."""
     shapes = {1: [[(0, 0), (3, 0), (3, 1), (1, 1), (1, 2), (3, 2), (3, 3), (0, 3)]], 2: [square(1, 1, 1)]}
     spots = [(x / 2, y / 2) for x in range(-1, 9) for y in range(-1, 9)]
-    for size in (0.5, 2.0):
-        assert set(located(spark, shapes, spots, size)) == brute(shapes, spots)
+    for budget in (3, 32):
+        assert set(located(spark, shapes, spots, budget)) == brute(shapes, spots)
 
 
 def test_point_lookup_scans_boundaries(spark):
@@ -146,23 +145,52 @@ def test_point_lookup_scans_boundaries(spark):
     assert boundaries_containing(frame(spark, DONUT), 2.0, 2.0).count() == 0
 
 
-def test_cell_size_follows_the_densest_place(spark):
+def test_cells_follow_the_budget(spark):
+    """A dense shore is split down, open land is not; no cell holds more than the budget."""
     dense = [(95 + 0.0005 * k, 0.0002 * (k % 2)) for k in range(2000)]
-    assert choose_cell_size(frame(spark, {1: [dense + [(96.0, 1.0), (95.0, 1.0)]]})) < 0.5
-    assert choose_cell_size(frame(spark, TWINS)) == 1.0
+    index, grid = build_cell_index(frame(spark, {1: [dense + [(96.0, 20.0), (95.0, 20.0)]]}), ["regency_id"])
+    held = index.select("depth", F.expr("aggregate(transform(candidates, c -> size(c.edges)), 0, (a, n) -> a + n)").alias("n"))
+    assert held.agg(F.max("n")).first()[0] <= 32
+    assert max(grid.depths) - min(grid.depths) >= 6 and index.count() < 1000
+    _, plain = build_cell_index(frame(spark, TWINS), ["regency_id"])
+    assert plain.depths == (0,)
+
+
+def test_a_long_shore_matches_brute_force(spark):
+    """Many edges over many depths, a second boundary across them all, and points on and beside the shore."""
+    rng = random.Random(7)
+    shore = [(x / 400 + rng.uniform(0, 0.002), rng.uniform(0, 0.4) ** 2) for x in range(20_000)]
+    shapes = {1: [shore + [(50.0, 30.0), (0.0, 30.0)]], 2: [square(-3, -3, 60)], 3: [square(10, 0.01, 0.3), square(10.1, 0.02, 0.1)]}
+    spots = [(rng.uniform(-4, 58), rng.uniform(-4, 40)) for _ in range(60)]
+    spots += [(rng.uniform(9.9, 10.5), rng.uniform(-0.1, 0.4)) for _ in range(60)] + rng.sample(shore, 20)
+    want = brute(shapes, spots)
+    assert set(located(spark, shapes, spots, 32)) == want
+    assert set(located(spark, shapes, spots, 32, strategy="shuffle", hot_rows=20)) == want
+
+
+def test_one_vertex_of_many_edges_ends_the_split(spark):
+    """Forty edges meet in one vertex: no cell around it can hold fewer, so the deepest one holds them all."""
+    star = [p for k in range(20) for p in ((0.0, 0.0), (1.0 + k, 30.0 - k), (1.5 + k, 30.0 - k))]
+    spots = [(0.0, 0.0), (1e-9, 1e-9), (1.2, 29.9), (5.0, 1.0), (1.25, 30.0)]
+    assert set(located(spark, {1: [star]}, spots, 32)) == brute({1: [star]}, spots)
+
+
+def test_rings_that_are_none(spark):
+    rows = [(1, 1, [[(0.0, 0.0), (None, 1.0), (1.0, 1.0)], [(0.0, float("nan")), (1.0, 1.0)], []]), (2, 2, None)]
+    index, grid = build_cell_index(spark.createDataFrame(rows, SCHEMA), ["regency_id"])
+    assert index.count() == 0
+    assert [r["regency_id"] for r in locate_points(points(spark, [(0.5, 0.5)]), index, grid).collect()] == [None]
 
 
 def test_no_point_is_shuffled_or_meets_every_boundary(spark):
-    index = build_cell_index(frame(spark, TWINS), ["regency_id"], 1.0)
-    saved = index.persist()
-    plan = explained(locate_points(points(spark, [(1, 1)]), saved, 1.0, strategy="broadcast"))
+    index, grid = build_cell_index(frame(spark, TWINS), ["regency_id"])
+    plan = explained(locate_points(points(spark, [(1, 1)]), index, grid, strategy="broadcast"))
     assert "BroadcastHashJoin" in plan
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "SortMergeJoin"):
         assert word not in plan
-    plan = explained(locate_points(points(spark, [(1, 1)]), saved, 1.0, strategy="shuffle"))
+    plan = explained(locate_points(points(spark, [(1, 1)]), index, grid, strategy="shuffle"))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
         assert word not in plan
-    saved.unpersist()
 
 
 def boundaries(spark):
@@ -176,14 +204,14 @@ def regencies(spark, names):
 
 
 def test_lookup_by_name_key(spark):
-    index, size = region_index(boundaries(spark), regencies(spark, [(10, "KABUPATEN BOGOR"), (20, "KOTA BOGOR")]))
+    index, grid = region_index(boundaries(spark), regencies(spark, [(10, "KABUPATEN BOGOR"), (20, "KOTA BOGOR")]))
     raw = points(spark, [(1, 1), (3, 1), (2, 1), (50, 50)])
-    assert [r["regency_id"] for r in attach_regency(raw, index, size).orderBy("i").collect()] == [10, 20, 10, None]
+    assert [r["regency_id"] for r in attach_regency(raw, index, grid).orderBy("i").collect()] == [10, 20, 10, None]
 
 
 def test_polygon_without_regency_keeps_the_point(spark):
-    index, size = region_index(boundaries(spark), regencies(spark, [(20, "KOTA BOGOR")]))
-    got = attach_regency(points(spark, [(1, 1), (2, 1)]), index, size).orderBy("i").collect()
+    index, grid = region_index(boundaries(spark), regencies(spark, [(20, "KOTA BOGOR")]))
+    got = attach_regency(points(spark, [(1, 1), (2, 1)]), index, grid).orderBy("i").collect()
     assert [r["regency_id"] for r in got] == [None, 20]
 
 
@@ -194,8 +222,8 @@ def test_ambiguous_reference_is_an_error(spark):
 
 def test_bad_coordinates_are_set_apart(spark):
     raw = spark.createDataFrame([("a", "1.0", "1.0"), ("b", "abc", "1"), ("c", None, "1")], "i string, latitude string, longitude string")
-    index, size = region_index(boundaries(spark), regencies(spark, [(10, "BOGOR")]))
-    assert [r["i"] for r in attach_regency(raw, index, size).collect()] == ["a"]
+    index, grid = region_index(boundaries(spark), regencies(spark, [(10, "BOGOR")]))
+    assert [r["i"] for r in attach_regency(raw, index, grid).collect()] == ["a"]
     rejected = rejected_points(raw).collect()
     assert {(r["i"], r["latitude"], r["reject_reason"]) for r in rejected} == {
         ("b", "abc", "INVALID_COORDINATE"), ("c", None, "INVALID_COORDINATE"),
@@ -205,6 +233,6 @@ def test_bad_coordinates_are_set_apart(spark):
 def test_one_hot_cell_keeps_every_row(spark):
     """A third of all points in one spot, spread by salts, none lost or doubled."""
     spots = [(1.999, 1.0)] * 600 + [(0.1 * k % 4, 0.5) for k in range(1200)]
-    got = located(spark, TWINS, spots, 1.0, strategy="shuffle", hot_rows=100, on_multiple="first")
+    got = located(spark, TWINS, spots, 4, strategy="shuffle", hot_rows=100, on_multiple="first")
     assert len(got) == len(spots)
     assert all(k == 1 for i, k in got if i < 600)

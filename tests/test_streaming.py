@@ -77,11 +77,11 @@ def drop_messages(folder, name, *texts):
         out.write("\n".join(texts) + "\n")
 
 
-def run_all(spark, folder, index):
+def run_all(spark, folder, index, grid):
     source = jobs.message_files(spark, f"{folder}/in")
     jobs.start_raw_sink(source, f"{folder}/raw", f"{folder}/cp1").awaitTermination()
     jobs.start_dead_letter_sink(source, f"{folder}/dead", f"{folder}/cp2").awaitTermination()
-    jobs.start_enrichment(spark, f"{folder}/raw", f"{folder}/enriched", f"{folder}/cp3", index, 1.0).awaitTermination()
+    jobs.start_enrichment(spark, f"{folder}/raw", f"{folder}/enriched", f"{folder}/cp3", index, grid).awaitTermination()
     return (
         spark.read.parquet(f"{folder}/raw").count(),
         spark.read.schema("value string, problem string").json(f"{folder}/dead").count(),
@@ -90,23 +90,23 @@ def run_all(spark, folder, index):
 
 
 def test_three_runs_on_one_checkpoint(spark, folder):
-    index = build_cell_index(frame(spark, TWINS), ["regency_id"], 1.0).persist()
+    index, grid = build_cell_index(frame(spark, TWINS), ["regency_id"])
     drop_messages(folder, "1.json", message(), message(), "{broken", message(event_id="far", longitude=50.0))
-    raw, dead, enriched = run_all(spark, folder, index)
+    raw, dead, enriched = run_all(spark, folder, index, grid)
     assert (raw, dead) == (3, 1)
     assert enriched.select(*STREAM_ENRICHED.names).count() == 3
     drop_messages(folder, "2.json", message(), message(event_id="e2", longitude=3.0))
-    raw, dead, enriched = run_all(spark, folder, index)
+    raw, dead, enriched = run_all(spark, folder, index, grid)
     assert (raw, dead) == (5, 1)
     found = {(r.event_id, r.regency_id) for r in enriched.collect()}
     assert found == {("e1", 1), ("far", None), ("e2", 2)}
     assert enriched.count() == 4
-    raw, dead, enriched = run_all(spark, folder, index)
+    raw, dead, enriched = run_all(spark, folder, index, grid)
     assert (raw, dead, enriched.count()) == (5, 1, 4)
     # The one-pass form over the same tables finds nothing left to do.
-    assert jobs.enrich_unseen(spark, f"{folder}/raw", f"{folder}/enriched", index, 1.0) == 0
-    assert jobs.enrich_unseen(spark, f"{folder}/raw", f"{folder}/fresh", index, 1.0) == 5
-    index.unpersist()
+    assert jobs.enrich_unseen(spark, f"{folder}/raw", f"{folder}/enriched", index, grid) == 0
+    assert jobs.enrich_unseen(spark, f"{folder}/raw", f"{folder}/fresh", index, grid) == 5
+
 
 
 def test_stream_equals_batch(spark, folder):
