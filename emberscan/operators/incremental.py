@@ -11,11 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import storage
 from ..session import saved_copy
 from ..sources import lake
+from .directory import BUCKETS, KeyDirectory
 from .guards import broadcast_if_small, fits_broadcast, require_single_date, require_unique
+from .ledger import BatchLedger
 
 
 def unseen_rows(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -32,10 +35,17 @@ def unseen_rows(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame:
     return incoming.join(F.broadcast(seen), key, "left_anti")
 
 
-def merged(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Target with incoming rows replacing or joining those of the same key."""
+def merged(target: DataFrame, incoming: DataFrame, key: str, partition: str) -> DataFrame:
+    """Target with incoming rows replacing or joining those of the same key.
+
+    Rows without a key cannot be told apart: those of a day replace that day's.
+    """
     replaced = broadcast_if_small(incoming.select(key))
-    return target.join(replaced, key, "left_anti").select(*incoming.columns).unionByName(incoming)
+    keyless = _dates(incoming.where(F.col(key).isNull()), partition)
+    left = target.join(replaced, key, "left_anti").select(*incoming.columns)
+    if keyless:
+        left = left.where(F.col(key).isNotNull() | ~F.coalesce(_within(partition, keyless), F.lit(False)))
+    return left.unionByName(incoming)
 
 
 def _dates(df: DataFrame, column: str) -> set:
@@ -58,30 +68,36 @@ def upsert(
     cluster_by: list[str] | None = None,
     key_pins_partition: bool = False,
     saved: bool = False,
+    buckets: int = BUCKETS,
 ) -> int:
     """Merge by key; rows absent from the input stay. Returns partitions rewritten.
 
-    A key may sit in another day than its new row, so by default the key column
-    of the whole target is searched; `key_pins_partition` promises it cannot and
-    restricts the search to the incoming days. The input is read several times:
-    it is written out first unless it is `saved`, that is cheap to read again.
+    A key may sit in another day than its new row. The days that hold incoming keys come from the
+    table's key directory, so of history only those days are read; `key_pins_partition`
+    promises that a key never changes its day, and no directory is kept. The input is read several
+    times: it is written out first unless it is `saved`, that is cheap to read again.
     """
     if not saved:
         with saved_copy(incoming, "upsert") as copy:
-            return upsert(spark, path, copy, key, partition, cluster_by, key_pins_partition, saved=True)
+            return upsert(spark, path, copy, key, partition, cluster_by, key_pins_partition, True, buckets)
     arriving = _dates(incoming, partition)
     if not arriving:
         return 0
     require_unique(incoming, key)
+    directory = None if key_pins_partition else KeyDirectory.of(spark, path, incoming, key, partition, buckets)
     if not storage.has_table(spark, path):
+        if directory:
+            directory.record(incoming)
         lake.write_partitioned(incoming, path, [partition], cluster_by)
         return len(arriving)
-    target = spark.read.parquet(path).select(*incoming.columns)
     touched = set(arriving)
-    if not key_pins_partition:
-        keys = broadcast_if_small(incoming.select(key))
-        touched |= _dates(target.select(key, partition).join(keys, key, "left_semi"), partition)
-    result = merged(target.where(_within(partition, touched)), incoming, key)
+    if directory:
+        directory.ensure()
+        with saved_copy(directory.found(incoming), "found") as known:
+            touched |= _dates(known, partition)
+            directory.record(incoming, known)
+    target = spark.read.schema(incoming.schema).parquet(path).where(_within(partition, touched))
+    result = merged(target, incoming, key, partition)
     emptied = touched - _dates(result, partition) if touched - arriving else set()
     lake.write_partitioned(result, path, [partition], cluster_by, only_touched=True)
     lake.drop_partitions(spark, path, partition, emptied - {None})
@@ -98,8 +114,8 @@ def overwrite_dates(
 def replace_date(spark: SparkSession, path: str, df: DataFrame, partition: str = "acq_date") -> int:
     """Load one day in place of what the table holds for it. Returns rows loaded.
 
-    The input must hold exactly one date. Rows without a date ride along and are
-    appended to the undated partition. Empty input changes nothing.
+    The input must hold exactly one date. Rows without a date ride along in the undated
+    partition, where they take the place of equal rows, so a reload adds none. Empty input changes nothing.
     """
     clustered = ["regency_id"] if "regency_id" in df.columns else []
     with saved_copy(df, "load") as copy:
@@ -110,7 +126,12 @@ def replace_date(spark: SparkSession, path: str, df: DataFrame, partition: str =
             dated = copy.where(F.col(partition).isNotNull())
             lake.write_partitioned(dated, path, [partition], clustered, only_touched=True)
             if not undated.isEmpty():
-                lake.write_partitioned(undated, path, [partition], clustered, mode="append")
+                digest = F.sha2(F.to_json(F.struct(*copy.columns)), 256)
+                before = spark.read.schema(copy.schema).parquet(path).where(F.col(partition).isNull())
+                loads = broadcast_if_small(undated.select(digest.alias("_digest")))
+                kept = before.withColumn("_digest", digest).join(loads, "_digest", "left_anti").drop("_digest")
+                with saved_copy(kept.unionByName(undated), "undated") as whole:
+                    lake.write_partitioned(whole, path, [partition], clustered, only_touched=True)
         return loaded
 
 
@@ -121,17 +142,37 @@ def append_unseen(
     key: str,
     partition: str = "acquisition_date",
     prepare: Callable[[DataFrame], DataFrame] = lambda fresh: fresh,
+    batch: str | None = None,
+    key_pins_partition: bool = True,
 ) -> int:
-    """Append the rows whose key is new to the table, creating it if missing.
+    """Append the rows whose key is new to the table, creating it if missing. Returns rows appended.
 
-    `prepare` runs on the new rows only. Returns rows appended.
+    Keys are looked for in the days of the incoming rows alone, as an event's id is made from its
+    date; without that promise (`key_pins_partition=False`) also in the days that the table's key
+    directory names. Either way history is not scanned. A `batch` by name is taken in once.
+    `prepare` runs on the new rows only.
     """
-    fresh = incoming
-    if storage.has_table(spark, path):
-        fresh = unseen_rows(incoming, spark.read.parquet(path), key)
-    with saved_copy(prepare(fresh), "append") as copy:
-        appended = copy.count()
-        if appended:
-            clustered = ["regency_id"] if "regency_id" in copy.columns else []
-            lake.write_partitioned(copy, path, [partition], clustered, mode="append")
-        return appended
+    ledger = BatchLedger(spark, path)
+    if batch is not None and ledger.holds(batch):
+        return 0
+    with saved_copy(incoming, "batch") as rows:
+        days, fresh = _dates(rows, partition), rows
+        within = set(days)
+        directory = None if key_pins_partition else KeyDirectory.of(spark, path, rows, key, partition)
+        if directory and days:
+            if storage.has_table(spark, path):
+                directory.ensure()
+            with saved_copy(directory.found(rows), "found") as known:
+                within |= _dates(known, partition)
+                directory.record(rows, known)
+        if days and storage.has_table(spark, path):
+            ids = T.StructType([rows.schema[key], rows.schema[partition]])
+            fresh = unseen_rows(rows, spark.read.schema(ids).parquet(path).where(_within(partition, within)), key)
+        with saved_copy(prepare(fresh), "append") as copy:
+            appended = copy.count()
+            if appended:
+                clustered = ["regency_id"] if "regency_id" in copy.columns else []
+                lake.write_partitioned(copy, path, [partition], clustered, mode="append")
+    if batch is not None:
+        ledger.enter(batch, days, appended)
+    return appended

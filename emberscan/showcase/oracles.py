@@ -397,6 +397,14 @@ select r.event_id, boundary_id, province_name from raw r left join h using (even
         "detection_id, regency_id, cast(cast(fire_radiative_power as decimal(38,9))+1 as double), acquisition_date",
         f"acquisition_date>='{CHANGES_FROM}'",
     )
+    out["upsert_moved_days"] = (
+        with_ + _STAR + " select detection_id, regency_id, fire_radiative_power, cast(case when acquisition_date>="
+        f"'{CHANGES_FROM}' then cast(acquisition_date as date)+1 else cast(acquisition_date as date) end as varchar)"
+        " as acquisition_date from fct"
+    )
+    out["append_replayed"] = (
+        with_ + _ENRICHED + " select event_id, acquisition_date, fire_radiative_power, regency_id from enr"
+    )
     out["partition_overwrite"] = (
         with_ + _mart() + " select acquisition_date, count(*) as rows, cast(sum(detection_count"
         f"+case when acquisition_date>='{CHANGES_FROM}' then 1 else 0 end) as bigint) as detections from mart group by 1"

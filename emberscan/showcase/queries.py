@@ -516,6 +516,31 @@ def append_unseen(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def upsert_moved_days(spark, sf_dir):
+    """Corrected rows move to the next day: the key directory names the days they leave."""
+    rows = materialise(fact(spark, sf_dir).select(*_FACT_SLICE), "fact_rows")
+    moved = rows.where(F.col("acquisition_date") >= F.lit(CHANGES_FROM).cast("date")).withColumn(
+        "acquisition_date", F.date_add("acquisition_date", 1)
+    )
+    path = scratch_path(spark, "fact")
+    for part in (rows, moved, moved):
+        incremental.upsert(spark, path, part, cluster_by=["regency_id"], saved=True)
+    return spark.read.parquet(path)
+
+
+@query
+def append_replayed(spark, sf_dir):
+    """Three batches, sent again in another order, and once more without their names."""
+    columns = ["event_id", "acquisition_date", "fire_radiative_power", "regency_id"]
+    rows = materialise(enriched_stream(spark, sf_dir).select(*columns), "stream_rows")
+    path = scratch_path(spark, "enriched")
+    for name in (0, 1, 0, 2, 1, None):
+        batch = rows if name is None else rows.where(F.dayofmonth("acquisition_date") % 3 == name)
+        incremental.append_unseen(spark, path, batch, "event_id", batch=name if name is None else f"part {name}")
+    return spark.read.parquet(path)
+
+
 @query
 def unseen_events(spark, sf_dir):
     rows = stream_rows(spark, sf_dir).select("event_id", "acquisition_date", "fire_radiative_power")

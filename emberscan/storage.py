@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -20,6 +22,39 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the target must not exist."""
+    fs, start = _at(spark, source)
+    _, end = _at(spark, target)
+    fs.mkdirs(end.getParent())
+    if not fs.rename(start, end):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, visible once it is whole; an existing one is replaced."""
+    fs, target = _at(spark, path)
+    draft = target.suffix(f".{uuid.uuid4().hex}.tmp")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    fs.delete(target, False)
+    if not fs.rename(draft, target):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's content."""
+    fs, target = _at(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def glob(spark: SparkSession, pattern: str) -> list[str]:
     """Paths matching a pattern, in name order."""
     fs, target = _at(spark, pattern)

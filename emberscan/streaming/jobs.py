@@ -2,15 +2,18 @@
 
 Both are stateless. The raw table and the dead letters are file sinks with a
 checkpoint each, exactly once by the sink's own log. Enrichment appends through
-`foreachBatch`; a repeated batch finds its rows present and adds nothing.
+`foreachBatch`; a repeated batch stands in the table's ledger, or finds its rows present, and adds nothing.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import storage
 from ..operators.incremental import append_unseen
 from ..operators.region import attach_regency
 from ..operators.spatial import Grid
@@ -87,16 +90,22 @@ def enrich_unseen(
     )
 
 
+def batch_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """A name for a micro-batch that no other checkpoint gives: numbers start anew with each checkpoint."""
+    return f"{json.loads(storage.read_text(spark, f'{checkpoint}/metadata'))['id']}-{batch_id}"
+
+
 def start_enrichment(
     spark: SparkSession, raw_path: str, enriched_path: str, checkpoint: str, index: DataFrame, grid: Grid,
     on_multiple: str = "first", available_now: bool = True,
 ) -> StreamingQuery:
     """The same as a stream over the raw table: each run reads only new files."""
 
-    def handle(batch: DataFrame, _batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: int) -> None:
         append_unseen(
             batch.sparkSession, enriched_path, batch, "event_id",
             prepare=lambda fresh: enrich_rows(fresh, index, grid, on_multiple),
+            batch=batch_name(spark, checkpoint, batch_id),
         )
 
     writer = (

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from emberscan import storage
 from emberscan.operators import incremental
+from emberscan.operators.directory import KeyDirectory
 from emberscan.operators.guards import DateGuardError, DuplicateKey, fits_broadcast
+from emberscan.operators.ledger import BatchLedger
 from emberscan.operators.skew import salted_left_join
 from emberscan.sources import lake
 
@@ -50,6 +52,72 @@ def test_upsert_moves_a_row_to_another_day(spark, folder):
     assert content(spark, path) == {("a", "2", "2024-01-02"), ("b", "1", "2024-01-02")}
 
 
+def spoil(path, day):
+    """Make a day unreadable: whoever scans it fails."""
+    for name in day_files(path, day):
+        with open(f"{path}/acquisition_date={day}/{name}", "wb") as out:
+            out.write(b"no parquet")
+
+
+def test_upsert_reads_no_day_without_incoming_keys(spark, folder):
+    path = f"{folder}/t"
+    incremental.upsert(spark, path, rows(spark, ("a", 1, "2024-01-01"), ("b", 1, "2024-01-02"), ("c", 1, "2024-01-03")))
+    spoil(path, "2024-01-01")
+    assert incremental.upsert(spark, path, rows(spark, ("c", 2, "2024-01-02"), ("d", 2, "2024-01-04"))) == 3
+    left = spark.read.schema(SCHEMA).parquet(path).where("acquisition_date > date '2024-01-01'")
+    assert {(r.detection_id, r.v, str(r.acquisition_date)) for r in left.collect()} == {
+        ("b", 1, "2024-01-02"), ("c", 2, "2024-01-02"), ("d", 2, "2024-01-04"),
+    }
+
+
+def test_directory_reads_the_buckets_of_the_keys_alone(spark, folder):
+    path = f"{folder}/t"
+    many = spark.range(500).selectExpr("cast(id as string) as detection_id", "1 as v", "date '2024-01-01' as acquisition_date")
+    incremental.upsert(spark, path, many, buckets=16)
+    directory = KeyDirectory.of(spark, path, many, "detection_id", "acquisition_date", 16)
+    found = directory.found(many.where("detection_id = '7'"))
+    assert [tuple(map(str, r)) for r in found.collect()] == [("7", "2024-01-01")]
+    assert len({f.rsplit("/", 2)[1] for f in found.inputFiles()}) == 1
+    directory.record(many)
+    directory.compact()
+    pairs = directory.bucket(range(16))
+    assert pairs.count() == 500 and len(pairs.inputFiles()) <= 16
+
+
+def test_a_table_without_a_directory_gets_one(spark, folder):
+    path = f"{folder}/t"
+    incremental.upsert(spark, path, rows(spark, ("a", 1, "2024-01-01"), ("b", 1, "2024-01-02")), key_pins_partition=True)
+    incremental.upsert(spark, path, rows(spark, ("a", 2, "2024-01-02")))
+    assert content(spark, path) == {("a", "2", "2024-01-02"), ("b", "1", "2024-01-02")}
+
+
+@pytest.mark.parametrize("next_day", ["2024-01-02", "2024-01-03"])
+def test_upsert_after_a_job_that_died(spark, folder, monkeypatch, next_day):
+    """Died between directory and table: the retry, or another batch instead, still finds where the key really is."""
+    path = f"{folder}/t"
+    incremental.upsert(spark, path, rows(spark, ("a", 1, "2024-01-01")))
+
+    def die(*_, **__):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(lake, "write_partitioned", die)
+        with pytest.raises(OSError):
+            incremental.upsert(spark, path, rows(spark, ("a", 2, "2024-01-02")))
+    incremental.upsert(spark, path, rows(spark, ("a", 3, next_day)))
+    assert content(spark, path) == {("a", "3", next_day)}
+
+
+def test_rows_without_a_key_are_replaced_by_day(spark, folder):
+    path = f"{folder}/t"
+    load = rows(spark, (None, 1, "2024-01-01"), (None, 2, "2024-01-01"), ("a", 1, "2024-01-02"))
+    for _ in range(2):
+        incremental.upsert(spark, path, load)
+        assert spark.read.parquet(path).count() == 3
+    incremental.upsert(spark, path, rows(spark, (None, 7, "2024-01-02")))
+    assert spark.read.parquet(path).count() == 4
+
+
 def test_upsert_rejects_repeated_keys_and_ignores_nothing(spark, folder):
     path = f"{folder}/t"
     with pytest.raises(DuplicateKey, match="a"):
@@ -86,6 +154,12 @@ def test_date_guard(spark, folder):
     mixed = rows(spark, ("a", 1, "2024-01-01"), ("n", 1, None))
     assert incremental.replace_date(spark, f"{folder}/t", mixed, "acquisition_date") == 2
     assert spark.read.parquet(f"{folder}/t").where("acquisition_date is null").count() == 1
+    other = rows(spark, ("b", 1, "2024-01-02"), ("n", 2, None))
+    for load in (mixed, other, other):
+        incremental.replace_date(spark, f"{folder}/t", load, "acquisition_date")
+    assert content(spark, f"{folder}/t") == {
+        ("a", "1", "2024-01-01"), ("b", "1", "2024-01-02"), ("n", "1", "None"), ("n", "2", "None"),
+    }
 
 
 def test_append_unseen_is_idempotent(spark, folder):
@@ -98,6 +172,38 @@ def test_append_unseen_is_idempotent(spark, folder):
     assert spark.read.parquet(path).count() == 3
 
 
+@pytest.mark.parametrize("pinned", [True, False])
+def test_append_unseen_reads_no_other_day(spark, folder, pinned):
+    path = f"{folder}/t"
+    incremental.append_unseen(spark, path, rows(spark, ("a", 1, "2024-01-01"), ("b", 1, "2024-01-02")), "detection_id", key_pins_partition=pinned)
+    spoil(path, "2024-01-01")
+    more = rows(spark, ("b", 1, "2024-01-02"), ("c", 1, "2024-01-03"))
+    assert incremental.append_unseen(spark, path, more, "detection_id", key_pins_partition=pinned) == 1
+
+
+def test_append_unseen_finds_a_key_in_another_day(spark, folder):
+    path = f"{folder}/t"
+    for load, fresh in ((rows(spark, ("a", 1, "2024-01-01")), 1), (rows(spark, ("a", 1, "2024-01-02"), ("b", 1, "2024-01-02")), 1)):
+        assert incremental.append_unseen(spark, path, load, "detection_id", key_pins_partition=False) == fresh
+
+
+def test_a_batch_is_taken_in_once(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    first, second = rows(spark, ("a", 1, "2024-01-01"), ("a", 2, "2024-01-01")), rows(spark, ("b", 1, "2024-01-02"))
+    with monkeypatch.context() as patched:
+        patched.setattr(BatchLedger, "enter", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            incremental.append_unseen(spark, path, first, "detection_id", batch="x/1")
+    # The rows stand, the ledger does not know: the retry adds nothing and enters the batch.
+    assert incremental.append_unseen(spark, path, first, "detection_id", batch="x/1") == 0
+    assert incremental.append_unseen(spark, path, second, "detection_id", batch="x/2") == 1
+    spoil(path, "2024-01-02")
+    # Replays do not even look at the table.
+    assert incremental.append_unseen(spark, path, second, "detection_id", batch="x/2") == 0
+    entries = BatchLedger(spark, path).entries()
+    assert {(r.batch, tuple(r.days), r.rows) for r in entries.collect()} == {("x/1", ("2024-01-01",), 0), ("x/2", ("2024-01-02",), 1)}
+
+
 def test_unseen_rows_without_a_broadcast(spark, monkeypatch):
     incoming = rows(spark, ("a", 1, "2024-01-01"), ("c", 1, "2024-01-01"), (None, 1, "2024-01-01"))
     target = rows(spark, ("a", 1, "2024-01-01"))
