@@ -12,13 +12,19 @@ such subset, so similar sets share one.
 Only then do sets meet:
 
 1. Equal sets are one class (a class is named by a hash of its set). A task sends
-   the signatures of a class once, so hot copies cost a row per task.
+   the signatures of a class once, so hot copies cost a row per task, and of the classes it
+   finds under one signature only the least: it ties the others to that itself.
 2. Signatures held by two classes or more tie these into families, by a
    star around the least class of each, and connected components, band by band.
-3. Each class's set goes to its family; large families are split into blocks, and
-   pairs of blocks meet in different tasks. There all pairs of sets are compared
-   exactly by a matrix product, and only a spanning forest of the links leaves.
-4. Components of these links are the result.
+   A passage that many documents share may tie documents that are far from similar.
+3. Families are compared by sketches, a bit per element of the band's largest set: bit h is the
+   parity of the elements that hash to h. Sets that differ in d elements have sketches that
+   differ in d bits at most, so pairs beyond the bound are out, exactly, and no set travels for them.
+   What is left ties classes into kin, near copies but for rare strangers.
+4. Each class's set goes to its kin; large kin are split into blocks, and
+   pairs of blocks meet in different tasks (as do sketches of a large family). There all pairs are compared
+   exactly by a matrix product, and what leaves are stars that connect the same.
+5. Components of these links are the result.
 
 A set needs as many subsets as its own partners, not the band's largest, can differ
 in: groups go out in a fixed order until that many differences could not touch all
@@ -38,7 +44,7 @@ component only if no other id does; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +61,8 @@ CERTAIN = 40
 SPLITS = 4
 BLOCK = 2048  # sets of one side of a comparison
 BLOCK_ELEMENTS = 1_000_000  # and about their elements, 8 MB
-TIES = 1_000_000  # shared signatures that a task contracts at once
+SKETCH_BLOCK = 8192  # sketches of one side of a comparison
+TIES = 1_000_000  # signatures that a task contracts at once
 COLUMNS = 4096  # elements of one matrix product
 
 _U = np.uint64
@@ -154,6 +161,22 @@ def signatures(elements: np.ndarray, percent: int, spare: int = GROUP_SPARE, par
     return np.concatenate([found for _, found in banded_signatures(elements, percent, spare, parts)])
 
 
+def sketch(elements: np.ndarray, high: int) -> np.ndarray:
+    """Parities of the elements by hash, a bit for each element of a set of `high` or more."""
+    width = 1 << max(6, (high - 1).bit_length())
+    bits = np.bincount((_mixed(elements, 33) & _U(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(bits.astype(np.uint8)).view(_U)
+
+
+def banded_sketches(elements: np.ndarray, percent: int) -> list[np.ndarray]:
+    """band, size and sketch of a set in its own band and, if partners of it reach there, in the next one."""
+    size = len(elements)
+    band, *highs = band_of(size, percent)
+    if size * 100 // percent <= highs[0]:
+        highs = highs[:1]
+    return [np.concatenate([np.array([n, size], dtype=_U), sketch(elements, high)]) for n, high in enumerate(highs, band)]
+
+
 def _sets(batch: pa.RecordBatch, column: int, n: int) -> Iterator[np.ndarray]:
     """The n-gram set of each row of a column of word hashes."""
     lists = batch.column(column)
@@ -177,41 +200,61 @@ def hashed_words(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", found.alias("hashes"), F.xxhash64("text").alias("key"))
 
 
-def classes(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, key, n_shingles, class (null for an empty set) for every row."""
+def classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, key, n_shingles, class (null for an empty set) and the class's sketches for every row."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, names = [], []
+            sizes, names, sketches = [], [], []
             for elements in _sets(batch, 1, n):
                 sizes.append(len(elements))
                 names.append(_class_of(elements) if len(elements) else None)
-            columns = [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(names, pa.int64())]
-            yield pa.record_batch(columns, names=["doc_id", "key", "n_shingles", "class"])
+                sketches.append([s.view(np.int64) for s in banded_sketches(elements, percent)] if len(elements) else [])
+            made = [pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(sketches, pa.list_(pa.list_(pa.int64())))]
+            yield pa.record_batch([batch.column(0), batch.column(2), *made], names=["doc_id", "key", "n_shingles", "class", "sketches"])
 
-    return hashed_words(docs).mapInArrow(of, "doc_id long, key long, n_shingles long, class long")
+    return hashed_words(docs).mapInArrow(of, "doc_id long, key long, n_shingles long, class long, sketches array<array<long>>")
 
 
 def signature_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(signature, class, band) of every class, once per task that meets it."""
+    """(signature, class, band) of the least class a task finds under a signature; for the others (class, band, least).
+
+    A class's signatures are made once per task that meets it, and contracted `TIES` at a time.
+    """
+
+    def contracted(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        found, owner, band = (np.concatenate(c) for c in zip(*held))
+        order = np.argsort(found)
+        starts = np.flatnonzero(np.append(True, found[order[1:]] != found[order[:-1]]))
+        least = np.empty_like(owner)
+        least[order] = np.repeat(np.minimum.reduceat(owner[order], starts), np.diff(np.append(starts, len(found))))
+        tied = owner != least
+        # In the order of their classes, in which rows compress best.
+        sent = [pa.array(c[~tied]) for c in (found.view(np.int64), owner, band)]
+        yield pa.record_batch([*sent, pa.nulls(len(sent[0]), pa.int64())], names=["signature", "class", "band", "least"])
+        if tied.any():
+            star = _star(least[tied], owner[tied], band[tied])
+            columns = [pa.nulls(star.num_rows, pa.int64()), star.column(1), star.column(2), star.column(0)]
+            yield pa.record_batch(columns, names=["signature", "class", "band", "least"])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        held, rows = [], 0
         for batch in batches:
-            found, owners, bands = [], [], []
             for elements in _sets(batch, 1, n):
                 name = _class_of(elements) if len(elements) else None
                 if name is not None and name not in seen:
                     seen.add(name)
                     for band, made in banded_signatures(elements, percent):
-                        found.append(made)
-                        owners.append(np.full(len(made), name, dtype=np.int64))
-                        bands.append(np.full(len(made), band, dtype=np.int32))
-            if found:
-                columns = [pa.array(np.concatenate(found).view(np.int64)), *(pa.array(np.concatenate(c)) for c in (owners, bands))]
-                yield pa.record_batch(columns, names=["signature", "class", "band"])
+                        held.append((made, np.full(len(made), name, dtype=np.int64), np.full(len(made), band, dtype=np.int32)))
+                        rows += len(made)
+                    if rows >= TIES:
+                        yield from contracted(held)
+                        held, rows = [], 0
+        if rows:
+            yield from contracted(held)
 
-    return hashed_words(docs).mapInArrow(of, "signature long, class long, band int")
+    return hashed_words(docs).mapInArrow(of, "signature long, class long, band int, least long")
 
 
 def _star(least: np.ndarray, other: np.ndarray, band: np.ndarray) -> pa.RecordBatch:
@@ -248,23 +291,49 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def families(rows: DataFrame) -> DataFrame:
-    """(class, family) of the classes that share a signature with another; a class may be in one family per band.
+    """(class, band, family) of the classes that share a signature with another; a class may be in one family per band.
 
     Families do not chain from band to band: what is tied is a class within a band.
-    Tasks contract their ties before these are shuffled.
+    Tasks contract their ties before these are shuffled, so a signature has a row per task at most.
     """
-    least = F.min("class").over(Window.partitionBy("signature"))
-    tied = rows.select(least.alias("least"), "class", "band").where("least <> class")
+    met = Window.partitionBy(F.coalesce("signature", F.xxhash64("class", "least")))
+    tied = rows.select(F.coalesce("least", F.min("class").over(met)).alias("least"), "class", "band").where("least <> class")
     tied = tied.mapInArrow(_stars, "least long, class long, band int").distinct()
     tied = keep(tied)
     stars = tied.select(F.xxhash64("least", "band").alias("a"), F.xxhash64("class", "band").alias("b"))
     members = tied.select("class", "band").union(tied.select("least", "band")).distinct()
     named = components(stars).select("node", F.col("component").alias("family"))
-    return members.withColumn("node", F.xxhash64("class", "band")).join(named, "node").select("class", "family")
+    return members.withColumn("node", F.xxhash64("class", "band")).join(named, "node").select("class", "band", "family")
+
+
+def _stars_of(rows: int, count: int, near_to: Callable[[int], np.ndarray]) -> list[tuple[int, int]]:
+    """The links that `near_to` finds for each of the first `rows` of `count` members, as a star per component."""
+    component = np.arange(count)
+    for i in range(rows):
+        near = near_to(i)
+        met = np.unique(component[near])
+        if len(met) > (component[i] in met):
+            component[np.isin(component, met)] = component[i]
+    _, first, member = np.unique(component, return_index=True, return_inverse=True)
+    return [(int(first[c]), int(i)) for i, c in enumerate(member) if first[c] != i]
+
+
+def _near_sketches(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
+    """Stars that connect what the pairs do whose sketches, as (size, bits), leave them a chance to be similar."""
+    both = np.stack(left if right is None else [*left, *right])
+    sizes, bits = both[:, 0].astype(np.int64), np.ascontiguousarray(both[:, 1:])
+    rows = len(left)
+
+    def near_to(i: int) -> np.ndarray:
+        low, high = (0, i) if right is None else (rows, len(bits))
+        differing = np.bitwise_count(bits[low:high] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        return low + np.flatnonzero(differing <= (100 - percent) * (sizes[low:high] + sizes[i]) // (100 + percent))
+
+    return _stars_of(rows, len(bits), near_to)
 
 
 def _compared(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the left sets, or between left and right ones (right indices follow)."""
+    """Stars that connect what the links do among the left sets, or between left and right ones (right indices follow)."""
     sets = left if right is None else [*left, *right]
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     _, element, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -284,19 +353,12 @@ def _compared(left: list[np.ndarray], right: list[np.ndarray] | None, percent: i
     linked = 100 * both >= percent * (sizes[:rows, None] + other[None, :] - both)
     if right is None:
         linked &= np.tri(rows, k=-1, dtype=bool)
-    component, forest = np.arange(len(sets)), []
-    for i in range(rows):
-        near = np.flatnonzero(linked[i]) + (0 if right is None else rows)
-        near = near[component[near] != component[i]]
-        if len(near):
-            met, at = np.unique(component[near], return_index=True)
-            forest += [(i, int(j)) for j in near[at]]
-            component[np.isin(component, met)] = component[i]
-    return forest
+    begin = 0 if right is None else rows
+    return _stars_of(rows, len(sets), lambda i: begin + np.flatnonzero(linked[i]))
 
 
-def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between classes, from (family, blocks, class, elements)."""
+def _links(sets: DataFrame, percent: int, compared: Callable = _compared) -> DataFrame:
+    """Links (a, b) between classes, from (family, blocks, class, elements); `compared` finds them within two blocks."""
     blocks = F.col("blocks")
     here = F.pmod(F.xxhash64("class"), blocks)
     pairs = F.transform(
@@ -315,7 +377,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
             if right is not None and not (left and right):
                 return None
             both = left + (right or [])
-            found = _compared([r[2] for r in left], right and [r[2] for r in right], percent) if len(both) > 1 else []
+            found = compared([r[2] for r in left], right and [r[2] for r in right], percent) if len(both) > 1 else []
             if not found:
                 return None
             ends = [[both[pair[side]][1] for pair in found] for side in (0, 1)]
@@ -364,26 +426,40 @@ def grouped_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 columns = [pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), flat)]
                 yield pa.record_batch(columns, names=["class", "elements"])
 
-    named = keep(classes(slim, n))
+    named = keep(classes(slim, n, percent))
     tied = keep(families(signature_rows(slim, n, percent)))
     firsts = named.join(tied.select("class").distinct(), "class").groupBy("class")
-    firsts = keep(firsts.agg(F.min("doc_id").alias("_id"), F.max("n_shingles").alias("elements")))
-    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("elements") / BLOCK_ELEMENTS))
-    sizes = tied.join(firsts, "class").groupBy("family").agg(blocks.alias("blocks"))
-    chosen = broadcast_if_small(firsts.select("_id").distinct())
+    firsts = keep(firsts.agg(F.min("doc_id").alias("_id"), F.max("n_shingles").alias("size"), F.first("sketches").alias("sketches")))
+    sized = firsts.select("class", "size")
+    sketches = firsts.select("class", F.explode("sketches").alias("sketch")).select(
+        "class", F.get("sketch", F.lit(0)).cast("int").alias("band"), F.slice("sketch", 2, F.size("sketch") - 1).alias("elements")
+    )
+    owners = tied.join(_blocks(tied.join(sized, "class"), SKETCH_BLOCK, 64 * BLOCK_ELEMENTS), "family")
+    near = _links(sketches.join(broadcast_if_small(keep(owners)), ["class", "band"]), percent, _near_sketches)
+    kin = keep(components(near).select(F.col("node").alias("class"), F.col("component").alias("family")))
+    chosen = broadcast_if_small(keep(firsts.join(kin, "class").select("_id").distinct()))
     texts = slim.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     found = hashed_words(texts).mapInArrow(elements_of, "class long, elements array<long>")
-    # A set is the largest row here: it is shuffled once, to its family, where tasks leave out what they hold already.
-    owners = broadcast_if_small(keep(tied.join(sizes, "family")))
-    links = _links(found.join(owners, "class"), percent)
+    # A set is the largest row here: it is shuffled once, to its kin, where tasks leave out what they hold already.
+    owners = kin.join(_blocks(kin.join(sized, "class"), BLOCK, BLOCK_ELEMENTS), "family")
+    links = _links(found.join(broadcast_if_small(keep(owners)), "class"), percent)
     linked = components(links).select(F.col("node").alias("class"), F.col("component").alias("_group"))
-    return named.join(linked, "class", "left").withColumn("_group", F.coalesce("_group", "class"))
+    every = named.select("doc_id", "key", "n_shingles", "class")
+    return every.join(linked, "class", "left").withColumn("_group", F.coalesce("_group", "class"))
+
+
+def _blocks(members: DataFrame, rows: int, elements: int) -> DataFrame:
+    """family and the number of blocks it is split into, from (family, size)."""
+    count = F.greatest(F.ceil(F.count(F.lit(1)) / rows), F.ceil(F.sum("size") / elements))
+    return members.groupBy("family").agg(count.alias("blocks"))
 
 
 def join_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs; linked when 100 * common >= percent * union."""
     grouped = grouped_rows(docs, n, percent)
-    least = grouped.where("class is not null").groupBy("_group").agg(F.min("doc_id").alias("component_id"))
+    grouped = keep(grouped)
+    # Saved, so that both sides of the join are shuffles, of which adaptive execution splits a hot group.
+    least = keep(grouped.where("class is not null").groupBy("_group").agg(F.min("doc_id").alias("component_id")))
     return grouped.join(least, "_group", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )

@@ -70,7 +70,7 @@ def test_components_equal_brute_force(spark, seed, n, percent):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain_components(rows, n, percent)
 
 
-@pytest.mark.parametrize(("bound", "value"), [("BLOCK", 4), ("BLOCK_ELEMENTS", 200)])
+@pytest.mark.parametrize(("bound", "value"), [("BLOCK", 4), ("BLOCK_ELEMENTS", 200), ("SKETCH_BLOCK", 3), ("TIES", 40)])
 def test_blocks_lose_nothing(spark, monkeypatch, bound, value):
     monkeypatch.setattr(ngram_join, bound, value)
     rows = varied_documents(3, families=3, copies=30)
@@ -112,6 +112,35 @@ def test_similar_sets_share_a_signature(size, seed, percent, scheme):
             break
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.integers(1, 300), st.integers(0, 10_000), st.sampled_from([80, 90]))
+def test_sketches_never_differ_more_than_sets(size, seed, percent):
+    random = np.random.default_rng(seed)
+    a = np.unique(random.integers(0, 2**63, size, dtype=np.uint64))
+    b = np.unique(np.concatenate([random.permutation(a)[int(random.integers(0, size // 8 + 1)) :], random.integers(0, 2**63, int(random.integers(0, size // 8 + 2)), dtype=np.uint64)]))
+    high = max(ngram_join.band_of(len(s), percent)[1] for s in (a, b))
+    differing = np.bitwise_count(ngram_join.sketch(a, high) ^ ngram_join.sketch(b, high)).sum()
+    assert differing <= len(np.setxor1d(a, b))
+
+
+def test_sketches_keep_strangers_apart():
+    """Documents that share half their shingles are tied by signatures, not by sketches."""
+    random = np.random.default_rng(1)
+    shared = random.integers(0, 2**63, 150, dtype=np.uint64)
+    made = [np.unique(np.concatenate([shared, random.integers(0, 2**63, 150, dtype=np.uint64)])) for _ in range(30)]
+    high = ngram_join.band_of(300, 80)[1]
+    rows = [np.concatenate([np.array([len(m)], dtype=np.uint64), ngram_join.sketch(m, high)]) for m in made]
+    assert ngram_join._near_sketches(rows, None, 80) == []
+
+
+def test_one_signature_of_a_task(spark):
+    """However many classes of a task share a signature, one row of it is shuffled; the rest are tied in the task."""
+    rows = [(i, " ".join(f"w{n}" for n in range(40)) + f" end{i}") for i in range(50)]
+    found = ngram_join.signature_rows(odd_documents(spark, rows).coalesce(1), 3, 90).collect()
+    sent = [r["signature"] for r in found if r["signature"] is not None]
+    assert len(sent) == len(set(sent)) and sum(r["signature"] is None for r in found) >= 49
+
+
 def test_one_of_each(spark):
     rows = [(5, "a b c d e f g"), (3, "a b c d e f g"), (9, "other words stand in this one"), (10, None), (None, "x y")]
     kept = ngram_join.one_of_each(odd_documents(spark, rows), 5, 80)
