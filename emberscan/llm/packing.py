@@ -256,8 +256,13 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Whole packing with the ids of every piece: doc_id, row, piece, start, length, ids, sequence_id, offset."""
-    return place(keep(pieces(docs, vocabulary, capacity, end_id)), capacity)
+    """Whole packing with the ids of every piece: doc_id, row, piece, start, length, sequence_id, offset, ids.
+
+    Pieces are placed without their ids, which move once, to their places.
+    """
+    cut = keep(pieces(docs, vocabulary, capacity, end_id))
+    placed = place(keep(cut.drop("ids")), capacity)
+    return placed.join(cut.select("row", "piece", "ids"), ["row", "piece"]).select(*placed.columns, "ids")
 
 
 def assemble(packed: DataFrame) -> DataFrame:
