@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberscan.llm import mixing, ngram_join, packing, quality, secret_scan
-from emberscan.llm.shared import keep
 from emberscan.session import scratch_path
 
 
@@ -32,8 +31,8 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = packing.pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.place(keep(cut)).drop("row")
+    """The pieces with their ids, places and sequences; `row` tells copies of a document apart."""
+    return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [
