@@ -118,13 +118,17 @@ def _runs(*same: np.ndarray, steps: tuple[np.ndarray, ...] = ()) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _firsts(block: np.ndarray, window: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """For every window the row number of its first source: the least document, and place, with it in the block."""
-    order = np.lexsort((at, doc, window, block))
-    starts = _runs(block[order], window[order])
-    first = np.empty(len(order), dtype=np.int64)
-    first[order] = np.repeat(order[starts], np.diff(np.append(starts, len(order))))
-    return first
+def _sources(block: np.ndarray, window: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first source of every window, the least document and place with it in the block, in the order given."""
+    order = np.argsort(window)
+    starts = _runs(window[order], block[order])
+    sizes = np.diff(np.append(starts, len(order)))
+    in_order = doc[order]
+    least = np.repeat(np.minimum.reduceat(in_order, starts), sizes)
+    place = np.where(in_order == least, at[order], np.iinfo(np.int64).max)
+    source, source_at = np.empty_like(doc), np.empty_like(at)
+    source[order], source_at[order] = least, np.repeat(np.minimum.reduceat(place, starts), sizes)
+    return source, source_at
 
 
 def _factors(doc, key, at, source, source_at, window: int) -> list[np.ndarray]:
@@ -177,11 +181,10 @@ def window_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
     def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         anchor, hashed, doc, key, at = (np.concatenate(c) for c in zip(*held))
-        first = _firsts(anchor, hashed, doc, at)
-        known = doc[first] < doc
+        source, source_at = _sources(anchor, hashed, doc, at)
+        known = source < doc
         if known.any():
-            found = first[known]
-            *place, length, source, source_at = _factors(doc[known], key[known], at[known], doc[found], at[found], window)
+            *place, length, source, source_at = _factors(*(c[known] for c in (doc, key, at, source, source_at)), window)
             count = len(length)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(count + 1, dtype=np.int32) * 3), pa.array(np.stack([length, source, source_at], axis=1).ravel())
@@ -223,17 +226,14 @@ def factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     slim = spread.select("anchor", "part", "doc_id", "key", "start", "windows")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, last = [], 0, None
-
-        def parsed() -> pa.RecordBatch | None:
-            block, part, hashed, doc, key, at = (np.concatenate(c) for c in zip(*held))
-            first = _firsts(block ^ _scrambled(part.view(_U), 3).view(np.int64), hashed, doc, at)
-            known = doc[first] < doc
-            if not known.any():
-                return None
-            found = first[known]
-            made = _factors(doc[known], key[known], at[known], doc[found], at[found], window)
-            return pa.record_batch([pa.array(c) for c in made], names=_FACTOR_NAMES)
+        held, size = [], 0
+
+        def parsed(block, part, hashed, doc, key, at) -> Iterator[pa.RecordBatch]:
+            if len(doc):
+                source, source_at = _sources(block ^ _scrambled(part.view(_U), 3).view(np.int64), hashed, doc, at)
+                known = source < doc
+                made = _factors(*(c[known] for c in (doc, key, at, source, source_at)), window)
+                yield pa.record_batch([pa.array(c) for c in made], names=_FACTOR_NAMES)
 
         for batch in batches:
             settled = pc.is_null(batch.column(0))
@@ -243,31 +243,22 @@ def factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
                 columns = [done.column(2), done.column(3), done.column(4), *(pa.array(np.ascontiguousarray(c)) for c in numbers.T)]
                 yield pa.record_batch(columns, names=_FACTOR_NAMES)
                 batch = batch.filter(pc.invert(settled))
-            anchor, part, doc, key, start = (np.asarray(batch.column(c)) for c in range(5))
-            sizes = np.asarray(batch.column(5).value_lengths()).astype(np.int64)
-            hashed = np.asarray(batch.column(5).flatten())
-            ends = np.cumsum(sizes)
-            block = np.stack([anchor, part])
-            # Blocks may only be parsed whole: cut before the block that the batch's first and last rows belong to.
-            cuts = _runs(anchor, part)
-            begin = 0
-            for cut in [*cuts.tolist(), batch.num_rows]:
-                now = tuple(block[:, cut].tolist()) if cut < batch.num_rows else None
-                if cut > begin:
-                    low, high = (ends[begin - 1] if begin else 0), ends[cut - 1]
-                    here = slice(begin, cut)
-                    inside = np.arange(high - low) - np.repeat(ends[here] - sizes[here] - low, sizes[here])
-                    own = (np.repeat(c[here], sizes[here]) for c in (anchor, part))
-                    held.append((*own, hashed[low:high], *(np.repeat(c[here], sizes[here]) for c in (doc, key)), np.repeat(start[here], sizes[here]) + inside))
-                    size += high - low
-                    last = (int(anchor[cut - 1]), int(part[cut - 1]))
-                    begin = cut
-                if now is not None and size >= HELD and now != last:
-                    if (out := parsed()) is not None:
-                        yield out
-                    held, size = [], 0
-        if held and (out := parsed()) is not None:
-            yield out
+            if batch.num_rows:
+                anchor, part, doc, key, start = (np.asarray(batch.column(c)) for c in range(5))
+                sizes = np.asarray(batch.column(5).value_lengths()).astype(np.int64)
+                inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                anchor, part, doc, key, start = (np.repeat(c, sizes) for c in (anchor, part, doc, key, start))
+                held.append((anchor, part, np.asarray(batch.column(5).flatten()), doc, key, start + inside))
+                size += len(doc)
+            if size >= HELD:
+                # Blocks are parsed whole: the last one, which may go on, waits.
+                whole = tuple(np.concatenate(c) for c in zip(*held))
+                before = np.flatnonzero((whole[0] != whole[0][-1]) | (whole[1] != whole[1][-1]))
+                end = before[-1] + 1 if len(before) else 0
+                yield from parsed(*(c[:end] for c in whole))
+                held, size = [tuple(c[end:] for c in whole)], len(whole[0]) - end
+        if held:
+            yield from parsed(*(np.concatenate(c) for c in zip(*held)))
 
     block = F.coalesce("anchor", F.xxhash64("doc_id", "start"))
     return slim.repartition(block, "part").sortWithinPartitions("anchor", "part").mapInArrow(parse, _FACTOR)
