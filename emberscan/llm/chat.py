@@ -9,8 +9,8 @@ a turn by the template
 
 In texts, each `<` of a would-be control string (`<turn`, `</turn`, a placeholder's `<|`, with
 any number of backslashes after the `<`) gets one backslash more; unescaping takes one
-away. So no text can close its turn, open another or forge a placeholder, and
-every text comes back exactly.
+away. Neighbouring texts are escaped as one, and the kind of an attachment is escaped too. So
+neither can close its turn, open another or forge a placeholder, and every text, kind and number comes back exactly.
 
 The loss mask is run-length coded, three runs a turn (before, under, after, in
 code points), covering the formatted string without gaps: under the mask lies
@@ -62,6 +62,24 @@ def _unescape_role(role: Column) -> Column:
     return F.replace(apart, F.lit("\\\x00"), F.lit("\\"))
 
 
+# Characters that end a placeholder's kind or open something else, and how a kind holds them.
+_KIND_SIGNS = {"\\": "\\\\", "<": "\\l", ">": "\\g", "|": "\\p", ":": "\\c", "\n": "\\n"}
+
+
+def _escape_kind(kind: Column) -> Column:
+    for sign, held in _KIND_SIGNS.items():
+        kind = F.replace(kind, F.lit(sign), F.lit(held))
+    return kind
+
+
+def _unescape_kind(kind: Column) -> Column:
+    """The first replacement of `_escape_kind` last; a stand-in keeps backslash pairs apart."""
+    out = F.replace(kind, F.lit("\\\\"), F.lit("\\\x00"))
+    for sign, held in reversed(list(_KIND_SIGNS.items())[1:]):
+        out = F.replace(out, F.lit(held), F.lit(sign))
+    return F.replace(out, F.lit("\\\x00"), F.lit("\\"))
+
+
 def text_part(text: Column) -> Column:
     """A turn's parts, where it is plain text."""
     null = F.lit(None)
@@ -86,25 +104,31 @@ def tokens_of(part: Column) -> Column:
 
 
 def flatten(parts: Column) -> tuple[Column, Column]:
-    """The turn's escaped text with placeholders, and its attachments (number, kind, ref, tokens)."""
+    """The turn's escaped text with placeholders, and its attachments (number, kind, ref, tokens).
+
+    Texts that stand side by side are escaped as the one text they make: control strings may lie across parts.
+    """
     parts = F.coalesce(parts, F.array().cast(PARTS_TYPE))
-    shown = F.transform(
-        parts,
-        lambda part, at: F.when(_is_text(part), escape(F.coalesce(part["text"], F.lit("")))).otherwise(
-            F.concat(F.lit("<|"), part["type"], F.lit(":"), at.cast("string"), F.lit("|>"))
-        ),
-    )
-    numbered = F.transform(
-        parts,
-        lambda part, at: F.when(
-            ~_is_text(part),
-            F.struct(
-                at.cast("bigint").alias("number"), part["type"].alias("kind"), part["ref"].alias("ref"),
-                tokens_of(part).alias("tokens"),
-            ),
+    numbered = F.transform(parts, lambda part, at: F.struct(part.alias("part"), at.alias("at")))
+
+    def visit(seen: Column, one: Column) -> Column:
+        mark = F.concat(F.lit("<|"), _escape_kind(one["part"]["type"]), F.lit(":"), one["at"].cast("string"), F.lit("|>"))
+        text = _is_text(one["part"])
+        return F.struct(
+            F.when(text, seen["done"]).otherwise(F.concat(seen["done"], escape(seen["open"]), mark)).alias("done"),
+            F.when(text, F.concat(seen["open"], F.coalesce(one["part"]["text"], F.lit("")))).otherwise("").alias("open"),
+        )
+
+    start = F.struct(F.lit("").alias("done"), F.lit("").alias("open"))
+    shown = F.aggregate(numbered, start, visit, lambda seen: F.concat(seen["done"], escape(seen["open"])))
+    attached = F.transform(
+        F.filter(numbered, lambda one: ~_is_text(one["part"])),
+        lambda one: F.struct(
+            one["at"].cast("bigint").alias("number"), one["part"]["type"].alias("kind"),
+            one["part"]["ref"].alias("ref"), tokens_of(one["part"]).alias("tokens"),
         ),
     )
-    return F.array_join(shown, ""), F.filter(numbered, lambda a: a.isNotNull())
+    return shown, attached
 
 
 def render(turns: DataFrame, trained_role: str = TRAINED_ROLE) -> DataFrame:
@@ -143,8 +167,29 @@ def _shown_turns(formatted: Column) -> Column:
     return F.slice(pieces, 1, F.size(pieces) - 1)
 
 
+_PLACEHOLDER = r"<\|([^|]*):([0-9]+)\|>"
+
+
+def _parts_of(body: Column) -> Column:
+    """(kind, number, text) of a turn's body in order; texts have kind 'text' and no number, and empty ones are left out."""
+    texts = F.split(body, _PLACEHOLDER)
+    kinds, numbers = (F.regexp_extract_all(body, F.lit(_PLACEHOLDER), F.lit(group)) for group in (1, 2))
+
+    def pair(text: Column, at: Column) -> Column:
+        said = F.struct(F.lit("text").alias("kind"), F.lit(None).cast("bigint").alias("number"), unescape(text).alias("text"))
+        kind, number = F.get(kinds, at.cast("int")), F.get(numbers, at.cast("int"))
+        shown = F.struct(_unescape_kind(kind).alias("kind"), number.cast("bigint").alias("number"), F.lit(None).cast("string").alias("text"))
+        return F.filter(F.array(said, shown), lambda part: part["kind"].isNotNull() & (F.coalesce(part["text"], F.lit("x")) != ""))
+
+    return F.flatten(F.transform(texts, pair))
+
+
 def read_back(rendered: DataFrame) -> DataFrame:
-    """conv_id with `turns` (role, text) and `trained` (texts under the mask), from formatted and loss_runs only."""
+    """conv_id with `turns` (role, text), `parts` (kind, number, text) of each turn and `trained` (texts under the mask).
+
+    From formatted and loss_runs only. A turn's text has its placeholders as they stand; in its parts, texts that
+    stood side by side are one.
+    """
 
     def turn_of(shown: Column) -> Column:
         head = F.regexp_extract(shown, r"^<turn ([^>]*)>\n", 1)
@@ -158,6 +203,11 @@ def read_back(rendered: DataFrame) -> DataFrame:
             run["under"] > 0, unescape(F.substr(shown, (run["before"] + 1).cast("int"), run["under"].cast("int")))
         ).otherwise(""),
     )
+    def parts_of(shown: Column) -> Column:
+        head = F.regexp_extract(shown, r"^<turn ([^>]*)>\n", 1)
+        return _parts_of(F.substr(shown, F.char_length(head) + F.lit(len("<turn >\n") + 1)))
+
     return rendered.withColumn("_shown", _shown_turns(F.col("formatted"))).select(
-        "conv_id", "formatted", F.transform("_shown", turn_of).alias("turns"), under.alias("trained")
-    )
+        "conv_id", "formatted", F.transform("_shown", turn_of).alias("turns"),
+        F.transform("_shown", parts_of).alias("parts"), under.alias("trained"),
+    )

@@ -5,7 +5,7 @@ delete takes away, a revision takes the old counts away and adds the new ones. C
 summed to signed deltas per (source, lang, tokenizer) and written as one batch; a batch is a folder
 that counts once its _SUCCESS marker stands, so a job that dies leaves nothing behind, a retry
 replaces what it left, and committing the same batch again changes nothing. Totals are sums of
-deltas; `compact` folds batches into one without changing totals. Sums add up in any
+deltas; `compacted` folds batches into one without changing totals and keeps their names. Sums add up in any
 order, so batches may be committed in any order too.
 
 Defined results: null sources and languages are groups of their own; a null count is 0; a batch
@@ -15,6 +15,7 @@ of `totals`; repeated changes within one batch count each.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,6 +29,7 @@ from .shared import text_of, words
 KEYS = ("source", "lang", "tokenizer")
 MEASURES = ("n_docs", "n_tokens", "n_chars")
 WORDS, BYTES = "words-1", "byte_bpe_50k"
+_FOLD = "compacted"  # the batch that holds all earlier ones; no caller's batch may have its name
 _DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens long, n_chars long"
 
 
@@ -89,15 +91,30 @@ class Rollup:
         return f"{self._path}/batch={batch}"
 
     def committed(self, batch: str) -> bool:
-        return storage.exists(self._spark, f"{self._batch(batch)}/_SUCCESS")
+        return storage.exists(self._spark, f"{self._batch(batch)}/_SUCCESS") or batch in self._folded()
+
+    def _folded(self) -> list[str]:
+        """Names of the batches that were committed before they were folded into this rollup."""
+        path = f"{self._path}/folded.json"
+        return json.loads(storage.read_text(self._spark, path)) if storage.exists(self._spark, path) else []
+
+    def batches(self) -> list[str]:
+        """Names of all committed batches, folded ones among them."""
+        markers = storage.glob(self._spark, f"{self._path}/batch=*/_SUCCESS")
+        return sorted({*self._folded(), *(m.rsplit("/", 2)[1].removeprefix("batch=") for m in markers)} - {_FOLD})
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Write the batch's deltas unless it is committed already; says whether it was written."""
+        if batch == _FOLD:
+            raise ValueError(f"{_FOLD} is the name of a fold")
         if self.committed(batch):
             return False
+        self._write(batch, changes)
+        return True
+
+    def _write(self, batch: str, changes: DataFrame) -> None:
         deltas = changes.groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
         deltas.write.mode("overwrite").parquet(self._batch(batch))
-        return True
 
     def deltas(self) -> DataFrame:
         """All committed deltas. Batches are listed by their markers; a half-written one is not seen."""
@@ -111,7 +128,8 @@ class Rollup:
         return sums.where(" or ".join(f"{m} <> 0" for m in MEASURES))
 
     def compacted(self, into: str) -> Rollup:
-        """A new rollup of the same totals in one batch; batches committed here are not known there."""
+        """A new rollup of the same totals in one batch; committing a batch again that was committed here changes nothing there."""
         folded = Rollup(self._spark, into)
-        folded.commit("compacted", self.deltas())
+        storage.write_text(self._spark, f"{folded._path}/folded.json", json.dumps(self.batches()))
+        folded._write(_FOLD, self.deltas())
         return folded

@@ -149,7 +149,15 @@ def test_rollup_commits_once(spark, folder):
     assert sum(r["n_docs"] for r in rollup.totals().collect()) == 3
     assert rollup.commit("two", token_counts.deletes(docs, "w", "n_words"))
     assert rollup.totals().count() == 0
-    assert rollup.compacted(f"{folder}-folded").totals().count() == 0
+    folded = rollup.compacted(f"{folder}-folded")
+    assert folded.totals().count() == 0
+    # A retry after folding is still a retry, also when folded again.
+    assert not folded.commit("one", token_counts.inserts(docs, "w", "n_words"))
+    assert folded.commit("three", token_counts.inserts(docs, "w", "n_words"))
+    again = folded.compacted(f"{folder}-again")
+    assert again.batches() == ["one", "three", "two"]
+    assert not any(again.commit(name, token_counts.inserts(docs, "w", "n_words")) for name in ("one", "two", "three"))
+    assert sum(r["n_docs"] for r in again.totals().collect()) == 3
 
 
 def test_copies_follow_the_quantile(spark):

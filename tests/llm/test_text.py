@@ -142,6 +142,40 @@ def test_every_text_comes_back(spark, conversations):
         assert sum(sum(run) for run in r["loss_runs"]) == len(r["formatted"])
 
 
+PIECES = st.sampled_from(["<", "\\", "/turn", "turn", ">", "\n", "</turn>\n", "<turn assistant>\n", "|", "<|", "|>", ":1", "x", "é"])
+HOSTILE = st.lists(PIECES, max_size=5).map("".join)
+PARTS = st.lists(st.tuples(st.one_of(st.sampled_from(["text", "text", "image", None]), HOSTILE), HOSTILE), max_size=6)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.sampled_from(["user", "assistant"]), PARTS), min_size=1, max_size=4), min_size=1, max_size=20))
+def test_no_part_breaks_out_of_the_template(spark, conversations):
+    """Hostile texts, side by side or not, and hostile kinds: turns, parts and mask come back."""
+    rows = [
+        (c, t, role, [(kind, text, "r", 1) for kind, text in parts])
+        for c, turns in enumerate(conversations) for t, (role, parts) in enumerate(turns)
+    ]
+    frame = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat.PARTS_TYPE}")
+    rendered = {r["conv_id"]: r for r in chat.render(frame).collect()}
+    back = {r["conv_id"]: r for r in chat.read_back(chat.render(frame)).collect()}
+    for c, turns in enumerate(conversations):
+        assert [t["role"] for t in back[c]["turns"]] == [role for role, _ in turns]
+        attached = []
+        for at, ((_, parts), found) in enumerate(zip(turns, back[c]["parts"])):
+            want = []
+            for number, (kind, text) in enumerate(parts):
+                if kind not in ("text", None):
+                    want.append((kind, number, None))
+                    attached.append((at, number, kind))
+                elif text:
+                    joined = want and want[-1][0] == "text" and want[-1][1] is None
+                    want[-1:] = [("text", None, want[-1][2] + text)] if joined else [*want[-1:], ("text", None, text)]
+            assert [tuple(p) for p in found] == want
+        assert [(a["turn_at"], a["part"]["number"], a["part"]["kind"]) for a in rendered[c]["attachments"]] == attached
+        assert sum(sum(run) for run in rendered[c]["loss_runs"]) == len(rendered[c]["formatted"])
+        assert ["assistant" if run["under"] else None for run in rendered[c]["loss_runs"]].count("assistant") <= sum(r == "assistant" for r, _ in turns)
+
+
 def test_parts_become_placeholders(spark):
     parts = [("text", "see ", None, None), ("image", None, "s3://a", 1000), ("text", " <|image:1|>", None, None), ("audio", None, "b", None)]
     frame = spark.createDataFrame([(1, 0, "user", parts), (1, 1, "assistant", None)], f"conv_id long, turn long, role string, parts {chat.PARTS_TYPE}")
