@@ -101,3 +101,45 @@ def overlapping_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr("cast(r_regionkey as bigint) as boundary_id", "r_name as province_name", "95e0 + 9 * r_regionkey as x0")
         .selectExpr("boundary_id", "province_name", f"array({', '.join(rings)}) as rings")
     )
+
+
+def _box(west: float, south: float, east: float, north: float) -> list[tuple[float, float]]:
+    return [(west, south), (east, south), (east, north), (west, north), (west, south)]
+
+
+# Geometries in a unit square, as parts of rings; what is wrong with each stands beside it.
+GEOMETRIES: list[tuple[list[list[list[tuple[float, float]]]], list[str]]] = [
+    ([[_box(0, 0, 1, 1)]], []),
+    ([[[(0, 0), (1, 1), (1, 0), (0, 1), (0, 0)]]], ["CROSSING"]),
+    ([[_box(0, 0, 1, 1), _box(0.25, 0.25, 0.75, 0.75)]], []),
+    ([[_box(0, 0, 1, 1), _box(0.5, 0.25, 1.25, 0.75)]], ["CROSSING", "HOLE_OUTSIDE"]),
+    ([[_box(0, 0, 1, 1), _box(1.125, 0.25, 1.25, 0.75)]], ["HOLE_OUTSIDE"]),
+    ([[_box(0, 0, 1, 1), _box(0.125, 0.125, 0.875, 0.875), _box(0.25, 0.25, 0.75, 0.75)]], ["NESTED_HOLES"]),
+    ([[_box(0, 0, 0.375, 1)], [_box(0.625, 0, 1, 1)]], []),
+    ([[_box(0, 0, 1, 1)], [_box(0.25, 0.25, 0.75, 0.75)]], ["OVERLAPPING_PARTS"]),
+    ([[_box(0, 0, 1, 1), _box(0.125, 0.125, 0.875, 0.875)], [_box(0.25, 0.25, 0.75, 0.75)]], []),
+    ([[_box(0, 0, 1, 1), [(0, 0.5), (0.375, 0.25), (0.625, 0.5), (0.375, 0.75), (0, 0.5)]]], []),
+    ([[_box(0, 0, 1, 1)], [_box(0, 0, 1, 1)]], ["CROSSING", "OVERLAPPING_PARTS"]),
+    ([[[(0, 0), (1, 0), (0.5, 0.5), (1, 1), (0, 1), (0.5, 0.5), (0, 0)]]], ["SELF_TOUCH"]),
+    ([[_box(0, 0, 1, 1)[:-1]]], ["OPEN_RING"]),
+]
+
+
+def supplier_geometries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(geometry, parts): for each supplier one of the geometries, at a place of its own."""
+
+    def text(parts) -> str:
+        point = "named_struct('x', x0 + {0!r}d, 'y', y0 + {1!r}d)"
+        rings = [[f"array({', '.join(point.format(float(x), float(y)) for x, y in ring)})" for ring in part] for part in parts]
+        return f"array({', '.join(f'array({", ".join(part)})' for part in rings)})"
+
+    chosen = " ".join(f"when {k} then {text(parts)}" for k, (parts, _) in enumerate(GEOMETRIES))
+    return (
+        table(spark, sf_dir, "supplier")
+        .selectExpr(
+            "cast(s_suppkey as bigint) as geometry",
+            "-75e0 + 1.5e0 * (s_suppkey % 100) as x0",
+            "-40e0 + 1.5e0 * (floor(s_suppkey / 100) % 50) as y0",
+        )
+        .selectExpr("geometry", f"case geometry % {len(GEOMETRIES)} {chosen} end as parts")
+    )

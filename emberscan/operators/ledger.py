@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import storage
 
-SCHEMA = "batch string, days array<string>, rows long"
+SCHEMA = "batch string, days array<string>, rows long, dead long"
 
 
 class BatchLedger:
@@ -27,13 +27,13 @@ class BatchLedger:
     def holds(self, batch: str) -> bool:
         return storage.exists(self.spark, self._entry(batch))
 
-    def enter(self, batch: str, days: set, rows: int) -> None:
-        """One small file under the batch's name, created whole by a rename."""
+    def enter(self, batch: str, days: set, rows: int, dead: int = 0) -> None:
+        """One small file under the batch's name, created whole by a rename; `dead` counts what was turned away."""
         known = sorted(str(day) for day in days if day is not None)
-        storage.write_text(self.spark, self._entry(batch), json.dumps({"batch": batch, "days": known, "rows": rows}))
+        storage.write_text(self.spark, self._entry(batch), json.dumps({"batch": batch, "days": known, "rows": rows, "dead": dead}))
 
     def entries(self) -> DataFrame:
-        """batch, days, rows of every batch taken in."""
+        """batch, days, rows, dead of every batch taken in."""
         if not storage.exists(self.spark, self.root):
             return self.spark.createDataFrame([], SCHEMA)
         return self.spark.read.schema(SCHEMA).json(self.root)

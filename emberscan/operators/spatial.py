@@ -186,9 +186,13 @@ def build_cell_index(
     id_col: str = "boundary_id",
     budget: int = EDGES_PER_CELL,
     path: str | None = None,
+    edges: DataFrame | None = None,
 ) -> tuple[DataFrame, Grid]:
     """The index (cell, depth, east, candidates), written to `path`, and its grid.
 
+    `edges` may be given with columns of their own, which candidates then carry; by default
+    they are made from the boundaries' `rings`.
+
     Edges are never gathered before their cell is within the budget; until then they are
     rows that are filtered and copied down, and only counts and bits are aggregated. A boundary that
     covers a cell whole, without edges in it, goes down with the cell as one row, so that a
@@ -197,7 +201,9 @@ def build_cell_index(
     """
     spark = boundaries.sparkSession
     saved = _Saved(spark)
-    edges = saved(boundary_edges(boundaries, id_col).withColumnRenamed(id_col, "_id"))
+    edges = boundary_edges(boundaries, id_col) if edges is None else edges
+    edges = saved(edges.withColumnRenamed(id_col, "_id"))
+    fields = [name for name in edges.columns if name != "_id"]
     grid, count = _square(edges)
     west, south = f"{grid.west!r}d", f"{grid.south!r}d"
     one = F.lit(1).cast("bigint")
@@ -220,10 +226,10 @@ def build_cell_index(
         }
         line = f"({west} + (above_col + 1) * {size!r}d)"
         parts = live.join(marked, "cell", "left_semi").select(
-            "_id", "x1", "y1", "x2", "y2", F.col("cell").alias("above"), F.col("col").alias("above_col"),
+            "_id", *fields, F.col("cell").alias("above"), F.col("col").alias("above_col"),
             "row", "col", F.explode(_parts(step)).alias("p"),
         ).selectExpr(
-            "_id", "x1", "y1", "x2", "y2", "above", "above_col", f"shiftleft(above, {2 * step}) + p.z as cell",
+            "_id", *fields, "above", "above_col", f"shiftleft(above, {2 * step}) + p.z as cell",
             f"col * {2**step} + p.i as col", f"row * {2**step} + p.j as row",
         )
         parts = parts.selectExpr("*", *(f"{sql} as {name}" for name, sql in corner.items()))
@@ -238,7 +244,8 @@ def build_cell_index(
         covers = lower.selectExpr("_id", f"shiftleft(cell, {2 * step}) + p.z as cell").union(
             placed.where("not inside and parity = 1").select("_id", "cell")
         )
-        live = saved(inside.where("inside").select("_id", "x1", "y1", "x2", "y2", "cell", "col", "row"))
+        covers = saved(covers) if depth else covers
+        live = saved(inside.where("inside").select("_id", *fields, "cell", "col", "row"))
         bits, depth, step = placed.where("inside").select("_id", "cell", "parity"), depth + step, SPLIT
         if split := depth + step <= MAX_DEPTH:
             dense = saved(live.groupBy("cell").count().where(F.col("count") > budget).select("cell"))
@@ -246,9 +253,10 @@ def build_cell_index(
     leaves = None
     for depth, kept, parity, whole in done:
         size = grid.size(depth)
-        gathered = kept.groupBy("_id", "cell", "col").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+        gathered = kept.groupBy("_id", "cell", "col").agg(F.collect_list(F.struct(*fields)).alias("edges"))
         bordered = gathered.join(parity, ["_id", "cell"]).selectExpr("_id", "cell", "parity", "edges")
-        plain = whole.selectExpr("_id", "cell", "1 as parity", "cast(array() as array<struct<x1:double,y1:double,x2:double,y2:double>>) as edges")
+        nothing = F.array().cast(gathered.schema["edges"].dataType)
+        plain = whole.select("_id", "cell", F.lit(1).alias("parity"), nothing.alias("edges"))
         both = bordered.union(plain).withColumn("depth", F.lit(depth)).withColumn("size", F.lit(size))
         leaves = both if leaves is None else leaves.union(both)
     carried = boundaries.groupBy(F.col(id_col).alias("_id")).agg(F.first(F.struct(*payload)).alias("payload"))
@@ -364,15 +372,19 @@ def locate_points(
     """Attach the payload of the boundaries holding each point.
 
     `all` gives one row per boundary, `first` one row per point with the lowest
-    payload (nulls last). Points in no boundary keep null payload, or are
+    payload (nulls last), `list` one row per point with all payloads in an array `matches`. Points in no boundary keep null payload, or are
     dropped when `keep_unmatched` is false. `strategy` is 'auto', or 'shuffle' to
     leave the whole index unsent even where it is measured to be small.
     """
-    if on_multiple not in ("all", "first"):
-        raise ValueError("on_multiple is 'all' or 'first'")
+    if on_multiple not in ("all", "first", "list"):
+        raise ValueError("on_multiple is 'all', 'first' or 'list'")
     payload = index.schema["candidates"].dataType.elementType["payload"].dataType.names
     found = _locate(points, index, grid, f"`{lon}`", f"`{lat}`", strategy, hot_rows, max_rows, max_bytes)
     hits = found.withColumn("_hits", _hits(f"`{lon}`", f"`{lat}`")).drop("candidates", "east")
+    if on_multiple == "list":
+        matches = F.coalesce("_hits", F.array())
+        listed = hits.select(*points.columns, matches.alias("matches"))
+        return listed if keep_unmatched else listed.where("size(matches) > 0")
     if on_multiple == "first":
         lowest = f"""get(array_sort(_hits, (l, r) -> case
             when l.{payload[0]} is null and r.{payload[0]} is null then 0

@@ -5,15 +5,20 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import storage
 from ..operators import incremental, quality
+from ..operators.guards import require_single_date
 from ..operators.region import attach_regency, normalise_types, rejected_points
 from ..operators.spatial import Grid
 from ..schemas import STREAM_ENRICHED
-from ..sources import discovery, files, lake
+from ..session import saved_copy
+from ..sources import discovery, lake
+from ..sources.versions import Draft, VersionedTable
 from . import intermediate, marts, staging, star
 from .declared_checks import DECLARED, GATES
+from .release import Release, audit_and_publish, audited
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -31,7 +36,13 @@ RAW, STREAM, CORE, MART = "raw", "streaming", "intermediate", "mart"
 
 def load_references(spark: SparkSession, house: Warehouse, lake_root: str) -> None:
     for source, table in (("regency", "raw_regencies"), ("province", "raw_provinces")):
-        files.truncate_and_load(spark, f"{lake_root}/reference/{source}.parquet", house.path(RAW, table))
+        raw_table(spark, house, table).overwrite(spark.read.parquet(f"{lake_root}/reference/{source}.parquet"))
+
+
+def raw_table(spark: SparkSession, house: Warehouse, table: str) -> VersionedTable:
+    """A raw table: a failed load leaves it as it was, and a load run again takes its own place."""
+    dated = table == "raw_detections"
+    return VersionedTable(spark, house.path(RAW, table), "acq_date" if dated else None, ["regency_id"] if dated else ())
 
 
 def run_batch(
@@ -51,11 +62,12 @@ def run_batch(
     if found.batch_exists:
         rows = spark.read.option("basePath", _table_root(found.batch_source)).parquet(found.batch_source)
         located = attach_regency(rows.drop("year", "month"), index, grid, on_multiple)
-        incremental.replace_date(
-            spark, house.path(RAW, "raw_detections"), normalise_types(located, version_mode)
-        )
+        with saved_copy(normalise_types(located, version_mode), "load") as loaded:
+            if not loaded.isEmpty():
+                require_single_date(loaded, "acq_date")
+            raw_table(spark, house, "raw_detections").load(loaded, day)
         rejected = rejected_points(rows.drop("year", "month"))
-        incremental.overwrite_dates(rejected, house.path(RAW, "rejected_detections"), "acq_date")
+        raw_table(spark, house, "rejected_detections").replace_part(rejected, day)
     return found
 
 
@@ -66,7 +78,7 @@ def _table_root(object_path: str) -> str:
 
 def build_staging(spark: SparkSession, house: Warehouse) -> dict[str, DataFrame]:
     """Staging relations as temporary views; an absent stream table counts as empty."""
-    raw = spark.read.parquet(house.path(RAW, "raw_detections"))
+    raw = raw_table(spark, house, "raw_detections").read()
     enriched_path = house.path(STREAM, "fire_detection_nrt_enriched")
     if storage.has_table(spark, enriched_path):
         enriched = spark.read.schema(STREAM_ENRICHED).parquet(enriched_path)
@@ -75,8 +87,8 @@ def build_staging(spark: SparkSession, house: Warehouse) -> dict[str, DataFrame]
     tables = {
         "stg_detection_batch": staging.stage_batch(raw),
         "stg_detection_stream": staging.stage_stream(enriched),
-        "stg_regency": staging.stage_regency(spark.read.parquet(house.path(RAW, "raw_regencies"))),
-        "stg_province": staging.stage_province(spark.read.parquet(house.path(RAW, "raw_provinces"))),
+        "stg_regency": staging.stage_regency(raw_table(spark, house, "raw_regencies").read()),
+        "stg_province": staging.stage_province(raw_table(spark, house, "raw_provinces").read()),
     }
     tables["stg_detection"] = staging.stage_union(tables["stg_detection_batch"], tables["stg_detection_stream"])
     for name, table in tables.items():
@@ -185,6 +197,49 @@ def run_transform(
     return warnings
 
 
+def run_published(spark: SparkSession, house: Warehouse, date: str | None = None) -> int:
+    """Staging to marts as one release: staged, audited by all declared checks and gates, then switched together.
+
+    With a date, that day's part of the dated tables is built anew and the others are kept. Returns the release's number;
+    a failed check leaves the last release as it is.
+    """
+    release = Release(spark, f"{house.root}/published")
+    stages = build_staging(spark, house)
+    staged = stages["stg_detection"]
+    in_scope = staged if date is None else staged.where(F.col("acquisition_date") == F.lit(date).cast("date"))
+
+    def dated(name: str, rows: DataFrame, cluster: str) -> Draft:
+        table = release.table(name, "acquisition_date", (cluster,))
+        return table.stage_overwrite(rows) if date is None or not release.versions() else table.stage_load(rows, date)
+
+    drafts = {
+        "int_detection_quarantine": dated("int_detection_quarantine", intermediate.quarantine(in_scope), "regency_id"),
+        "int_detection_join": dated("int_detection_join", intermediate.describe(in_scope), "regency_id"),
+        "dim_location": release.table("dim_location").stage_overwrite(star.dim_location(stages["stg_regency"], stages["stg_province"])),
+    }
+    detections = drafts["int_detection_join"].read()
+    for name, build in (
+        ("dim_satellite", star.dim_satellite),
+        ("dim_detection_classification", star.dim_detection_classification),
+        ("dim_collecting_process", star.dim_collecting_process),
+    ):
+        drafts[name] = release.table(name).stage_overwrite(build(detections))
+    fact = star.fct_detection(detections)
+    drafts["fct_detection"] = release.table("fct_detection", "acquisition_date", ("regency_id",)).stage_overwrite(fact)
+    daily = marts.daily_detection(
+        drafts["fct_detection"].read(), drafts["dim_detection_classification"].read(), drafts["dim_location"].read()
+    )
+    drafts["daily_detection"] = release.table("daily_detection", "acquisition_date", ("province_name",)).stage_overwrite(daily)
+
+    def audit(tables: dict[str, DataFrame]) -> None:
+        audited(DECLARED)(stages | tables)
+        for layer, (name, rules) in GATES.items():
+            checked = (stages | tables)[name]
+            quality.enforce(quality.check_columns(checked, rules), f"{layer} gate of {name}")
+
+    return audit_and_publish(release, drafts, audit)
+
+
 def save_region_index(index: DataFrame, grid: Grid, path: str) -> None:
     """Keep the cell index and its grid: boundaries change rarely, points arrive daily."""
     lake.write_plain(index, f"{path}/cells")

@@ -307,6 +307,17 @@ def oracle_sql() -> dict[str, str]:
         " day(acq_date)%3<>2 as stream_exists from raw group by acq_date"
     )
 
+    out["landing_catalogue"] = (
+        with_ + _RAW + " select case when satellite='SNPP' then 'snpp' else 'others' end as \"table\","
+        " cast(acq_date as varchar) as day, count(*) as rows from raw group by 1, 2"
+    )
+    out["discovery_report"] = (
+        with_ + _RAW + ", d as (select acq_date, count(*) as n, day(acq_date)%3 as k, day(acq_date)%2=0 as stream_exists"
+        " from raw group by acq_date), t as (select *, case k when 0 then 1 when 1 then 2 else 0 end as batch_tables from d)"
+        " select cast(acq_date as varchar) as day, batch_tables, n*batch_tables as batch_rows, stream_exists,"
+        " case when batch_tables>1 then 'AMBIGUOUS_SOURCE' when batch_tables=0 and not stream_exists then 'MISSING_SOURCE' end"
+        " as error from t"
+    )
     out["enrich_point_in_polygon"] = (
         with_ + _LOCATED + " select event_id, latitude, longitude, cast(regency_id as bigint) as regency_id from loc"
     )
@@ -339,7 +350,14 @@ select r.event_id, boundary_id, province_name from raw r left join h using (even
   from vx join nation on n_nationkey=regency_id group by 1,2,3"""
     )
     out["boundary_profile"] = (
-        "select true as all_valid, 'EPSG:4326' as crs, count(*) as features, 'Polygon' as geometry_types from nation"
+        "select n_nationkey%11<>5 as all_valid, 'EPSG:4326' as crs, count(*) as features, 'Polygon' as geometry_types"
+        " from nation group by 1"
+    )
+
+    wrong = ", ".join(f"({k},'{problem}')" for k, (_, found) in enumerate(adapter.GEOMETRIES) for problem in found)
+    out["geometry_validity"] = (
+        f"select s_suppkey as geometry, problem from supplier join (values {wrong}) as w(kind, problem)"
+        f" on s_suppkey%{len(adapter.GEOMETRIES)}=kind"
     )
 
     out["quarantine"] = (
@@ -414,6 +432,10 @@ select r.event_id, boundary_id, province_name from raw r left join h using (even
         " cast(try_cast(version as double) as bigint) as version, cast(type as bigint) as type,"
         f" case when acq_date=date '{CHANGES_FROM}' then frp+1 else frp end as frp from loc"
     )
+    out["versioned_reload"] = (
+        with_ + _RAW + " select event_id, case when confidence<>'x' then cast(acq_date as varchar) end as acq_date,"
+        f" case when confidence<>'x' and acq_date=date '{CHANGES_FROM}' then frp+1 else frp end as frp from raw"
+    )
     unseen = (
         f"select {{0}} from {{1}} where acquisition_date>='{CHANGES_FROM}'"
         f" and event_id not in (select event_id from {{1}} where acquisition_date<='{BASE_UNTIL}')"
@@ -432,11 +454,34 @@ select r.event_id, boundary_id, province_name from raw r left join h using (even
         with_ + _STAR + " " + _checks("cls", DECLARED["dim_detection_classification"], {})
     )
     out["quality_process"] = with_ + _STAR + " " + _checks("prc", DECLARED["dim_collecting_process"], {})
+    streamed = _ENRICHED.removeprefix(_RAW + ", ").replace(_SHAPES + ", ", "")
+    kept = "from stg where regency_id<>-999"
+    models = f"""{_mart()}, daily as ({_MART_ROWS}), {streamed}, sstg as ({_staged_stream('enr')}),
+both_stg as (select * from stg union all select * from sstg), prov as (select cast(r_regionkey as bigint) as province_id,
+  r_name as province_name from region), timed as (select detection_id, {_TIMES} {kept}),
+labelled as (select detection_id, {_BUSINESS} {kept}), quar as (select *, 'REGION_NOT_MATCHED' as quarantine_issue,
+  1 as quarantined_at from stg where regency_id=-999)"""
+    tables = _PARENTS | {
+        "fct_detection": "fct", "stg_detection_batch": "stg", "stg_detection_stream": "sstg", "stg_detection": "both_stg",
+        "stg_regency": "reg", "stg_province": "prov", "int_detection_enrich": "timed", "int_detection_business": "labelled",
+        "int_detection_join": "det", "int_detection_quarantine": "quar", "daily_detection": "daily",
+    }
+    out["quality_declared"] = with_ + models + " union all ".join(
+        f" select '{name}' as model, * from ({_checks(tables[name], rules, _PARENTS)})" for name, rules in DECLARED.items()
+    )
     gate = GATES["intermediate"][1]
     out["quality_gate"] = (
         with_ + _STAGED + " select 'table_exists' as \"check\", true as passed, cast(0 as bigint) as failing_rows union all "
         + _checks("stg", gate, {}, ("acquisition_date", ROLLING_AS_OF))
     )
+    seen = (
+        "select {0} as step, count(*) as rows, 0 as broken, count(distinct acq_date) as days, cast(count(*) as bigint) as counted"
+        " from raw where {1}"
+    )
+    without, whole = f"acq_date<>date '{CHANGES_FROM}'", "true"
+    out["audited_release"] = with_ + _RAW + " " + " union all ".join(
+        seen.format(step, where) for step, where in enumerate((without, without, whole), 1)
+    )
     out["relationship_violations"] = (
         with_ + _STAGED + " select regency_id as missing_key, count(*) as rows from stg"
         " where regency_id not in (select n_nationkey from nation) group by 1"
@@ -472,6 +517,16 @@ select c_custkey, case when c_mktsegment in ('BUILDING','MACHINERY') then null e
   case when c_mktsegment='MACHINERY' then null else 'Indonesia' end as country
 from customer join nation on n_nationkey=c_nationkey join region on r_regionkey=n_regionkey"""
 
+    outcome = problem.replace("'NONE'", "'ROW'")
+    out["stream_outcomes"] = (
+        with_ + _RAW + f" select {outcome} as outcome, count(*) as messages from raw group by 1"
+        " union all select 'SENT', count(*) from raw"
+    )
+    out["stream_latest"] = (
+        with_ + _STREAM + " select event_id, acquisition_date, acquisition_time, ingested_timestamp, fire_radiative_power"
+        " from srow qualify row_number() over (partition by event_id order by acquisition_date desc, acquisition_time desc,"
+        " ingested_timestamp desc)=1"
+    )
     out["stream_end_to_end"] = (
         with_ + _STREAM + " select * exclude (ingested_timestamp) from srow"
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,8 @@ from pyspark.sql import types as T
 
 from .. import adapter
 from ..functions.places import location_parts
-from ..operators import audit, coordinates, incremental, quality
+from ..operators import audit, coordinates, incremental, quality, validity
+from ..operators.ledger import BatchLedger
 from ..operators.region import (
     attach_regency,
     normalise_types,
@@ -20,9 +23,13 @@ from ..operators.region import (
 )
 from ..operators.spatial import build_cell_index, locate_points
 from ..plans import intermediate, marts, staging, star
+from ..operators.quality import Rules
 from ..plans.declared_checks import DECLARED, GATES
+from ..plans.release import Release, audit_and_publish, audited
 from ..session import apply_runtime_conf, materialise, scratch_path
 from ..sources import discovery, files, geojson, lake
+from ..sources.catalogue import LandingCatalogue, land_all
+from ..sources.versions import VersionedTable
 from ..streaming import events, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -279,6 +286,28 @@ def source_discovery(spark, sf_dir):
     return discovery.day_sources(batch, stream)
 
 
+@query
+def landing_catalogue(spark, sf_dir):
+    """Rows of every landed day and table, from the catalogue alone."""
+    catalogue = LandingCatalogue(spark, scratch_path(spark, "lake"))
+    archive = adapter.detections(spark, sf_dir)
+    for table, rows in (("snpp", archive.where("satellite = 'SNPP'")), ("others", archive.where("coalesce(satellite, '') <> 'SNPP'"))):
+        catalogue.land(rows, "archive", table)
+    return catalogue.entries().select("table", "day", "rows")
+
+
+@query
+def discovery_report(spark, sf_dir):
+    """Every day's sources: some days lie in two batch tables, some in one, some in none and of these some not in the stream."""
+    catalogue = LandingCatalogue(spark, scratch_path(spark, "lake"))
+    rows = adapter.detections(spark, sf_dir)
+    land_all(catalogue, [
+        ("archive", "first", rows.where("day(acq_date) % 3 <> 2")), ("archive", "second", rows.where("day(acq_date) % 3 = 1")),
+    ])
+    stream = stream_rows(spark, sf_dir).where("day(acquisition_date) % 2 = 0")
+    return catalogue.discovered(rows.select(F.col("acq_date").alias("day")), stream)
+
+
 # --- spatial -----------------------------------------------------------------------
 
 
@@ -336,13 +365,22 @@ def geojson_boundaries(spark, sf_dir):
 
 @query
 def boundary_profile(spark, sf_dir):
+    """Some rings have two corners swapped, so that they cross themselves."""
     folder = scratch_path(spark, "geojson")
-    geojson.write_boundaries(adapter.boundaries(spark, sf_dir), folder)
+    ring = F.get("rings", F.lit(0))
+    swapped = F.concat(F.array(F.get(ring, F.lit(1)), F.get(ring, F.lit(0))), F.slice(ring, 3, 6))
+    crossed = F.when(F.col("boundary_id") % 11 == 5, F.array(swapped)).otherwise(F.col("rings"))
+    geojson.write_boundaries(adapter.boundaries(spark, sf_dir).withColumn("rings", crossed), folder)
     return geojson.profile_boundaries(spark, folder, "*.txt").groupBy("all_valid", "crs").agg(
         F.sum("rows").alias("features"), F.max(F.array_join("geometry_types", ",")).alias("geometry_types")
     )
 
 
+@query
+def geometry_validity(spark, sf_dir):
+    return validity.geometry_problems(adapter.supplier_geometries(spark, sf_dir))
+
+
 # --- intermediate and star -------------------------------------------------------------
 
 
@@ -504,6 +542,23 @@ def date_scoped_replace(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "acq_date", "regency_id", "version", "type", "frp")
 
 
+@query
+def versioned_reload(spark, sf_dir):
+    """A table of versions: one day loaded twice with all undated rows, and its rejects, of which the second load has none."""
+    undated = F.when(F.col("confidence") != "x", F.col("acq_date"))
+    rows = materialise(adapter.detections(spark, sf_dir).withColumn("acq_date", undated), "rows")
+    root = scratch_path(spark, "versions")
+    raw = VersionedTable(spark, f"{root}/raw", "acq_date")
+    raw.overwrite(rows.where("acq_date is not null"))
+    day = F.col("acq_date") == F.lit(CHANGES_FROM).cast("date")
+    load = rows.where(day | F.col("acq_date").isNull()).withColumn("frp", F.when(day, F.col("frp") + 1).otherwise(F.col("frp")))
+    rejects = VersionedTable(spark, f"{root}/rejects")
+    for rejected in (load, load.where("false")):
+        raw.load(load, CHANGES_FROM)
+        rejects.replace_part(rejected, CHANGES_FROM)
+    return raw.read().unionByName(rejects.read()).select("event_id", "acq_date", "frp")
+
+
 @query
 def append_unseen(spark, sf_dir):
     """Append a stream whose events are partly in the table already."""
@@ -586,6 +641,29 @@ def quality_process(spark, sf_dir):
     return _reported(_models(spark, sf_dir), "dim_collecting_process")
 
 
+@query
+def quality_declared(spark, sf_dir):
+    """Every declared check of every model."""
+    stage = materialise(staged(spark, sf_dir), "staged")
+    stream = materialise(staging.stage_stream(enriched_stream(spark, sf_dir)), "stream")
+    models = _models(spark, sf_dir) | {
+        "stg_detection_batch": stage,
+        "stg_detection_stream": stream,
+        "stg_detection": staging.stage_union(stage, stream),
+        "stg_regency": staging.stage_regency(adapter.regencies(spark, sf_dir)),
+        "stg_province": staging.stage_province(adapter.provinces(spark, sf_dir)),
+        "int_detection_enrich": intermediate.enrich_time(stage),
+        "int_detection_business": intermediate.label_business(stage),
+        "int_detection_join": intermediate.describe(stage),
+        "int_detection_quarantine": intermediate.quarantine(stage),
+    }
+    models["daily_detection"] = marts.daily_detection(
+        models["fct_detection"], models["dim_detection_classification"], models["dim_location"]
+    )
+    parts = [_reported(models, name).withColumn("model", F.lit(name)) for name in DECLARED]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def quality_gate(spark, sf_dir):
     """The intermediate gate's rules, run on staging, where unmatched rows still are."""
@@ -606,6 +684,27 @@ def duplicated_events(spark, sf_dir):
     return quality.duplicated(stream_rows(spark, sf_dir), "event_id")
 
 
+@query
+def audited_release(spark, sf_dir):
+    """Two tables released together: rows readers see before a bad day, after it failed its audit, and after its repair."""
+    rows = materialise(adapter.detections(spark, sf_dir).select("event_id", "acq_date", "frp"), "rows")
+    release = Release(spark, scratch_path(spark, "published"))
+    audit = audited({"raw": Rules(not_null=("event_id", "frp"), unique=("event_id",))})
+    day = F.col("acq_date") == F.lit(CHANGES_FROM).cast("date")
+    broken = rows.withColumn("frp", F.when(F.col("event_id") % 2 == 0, F.col("frp")))
+    seen = []
+    for step, given in enumerate((rows.where(~day), broken.where(day), rows.where(day)), 1):
+        raw = release.table("raw", "acq_date")
+        draft = raw.stage_overwrite(given) if step == 1 else raw.stage_load(given, CHANGES_FROM)
+        daily = release.table("daily").stage_overwrite(draft.read().groupBy("acq_date").agg(F.count(F.lit(1)).alias("n")))
+        with suppress(quality.QualityError):
+            audit_and_publish(release, {"raw": draft, "daily": daily}, audit)
+        counts = release.read("raw").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("frp").isNull()).alias("broken"))
+        days = release.read("daily").agg(F.count(F.lit(1)).alias("days"), F.sum("n").alias("counted"))
+        seen.append(counts.join(days).select(F.lit(step).alias("step"), "rows", "broken", "days", "counted"))
+    return reduce(DataFrame.unionByName, seen)
+
+
 # --- coordinates and names ---------------------------------------------------------------
 
 
@@ -705,3 +804,28 @@ def stream_enrichment(spark, sf_dir):
     target = f"{root}/enriched"
     jobs.start_enrichment(spark, raw_path, target, f"{root}/cp_enriched", index, grid).awaitTermination()
     return spark.read.parquet(target).select("event_id", "fire_radiative_power", "regency_id", "acquisition_date")
+
+
+@query
+def stream_outcomes(spark, sf_dir):
+    """Sound and damaged messages through the one-pass sink, in several batches: what was sent, and what became of it."""
+    root = scratch_path(spark, "stream")
+    _damaged_messages(spark, sf_dir).select("value").repartition(6).write.text(f"{root}/messages")
+    for _ in range(2):
+        source = jobs.message_files(spark, f"{root}/messages", files_per_trigger=2)
+        jobs.start_outcome_sink(spark, source, f"{root}/raw", f"{root}/dead", f"{root}/cp").awaitTermination()
+    sent = BatchLedger(spark, f"{root}/raw").entries().select(F.lit("SENT").alias("outcome"), (F.col("rows") + F.col("dead")).alias("n"))
+    letters = jobs.committed_letters(spark, f"{root}/raw", f"{root}/dead").select("problem", F.lit(1).cast("bigint"))
+    rows = jobs.committed_rows(spark, f"{root}/raw").select(F.lit("ROW"), F.lit(1).cast("bigint"))
+    return sent.union(letters).union(rows).groupBy("outcome").agg(F.sum("n").alias("messages"))
+
+
+@query
+def stream_latest(spark, sf_dir):
+    """The latest copy of each event, kept in state over batches whose borders fall anywhere."""
+    root = scratch_path(spark, "latest")
+    stream_rows(spark, sf_dir).repartition(6).write.parquet(f"{root}/raw")
+    query = jobs.start_latest(spark, f"{root}/raw", f"{root}/latest", f"{root}/cp", late_after="60 days", files_per_trigger=2)
+    query.awaitTermination()
+    latest = spark.read.parquet(f"{root}/latest")
+    return latest.select("event_id", "acquisition_date", "acquisition_time", "ingested_timestamp", "fire_radiative_power")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import storage
 from ..functions.keys import admin_name_key
+from ..operators.validity import geometry_problems
 from ..schemas import GEOJSON
 
 FILES = "*.geojson"
@@ -28,9 +29,10 @@ def _as_rings(coordinates: Column) -> Column:
     )
 
 
-def _rings(geometry_type: Column, coordinates: Column) -> Column:
-    return F.when(geometry_type == "Polygon", _as_rings(F.from_json(coordinates, _POLYGON))).when(
-        geometry_type == "MultiPolygon", _as_rings(F.flatten(F.from_json(coordinates, _MULTI)))
+def _parts(geometry_type: Column, coordinates: Column) -> Column:
+    """The polygons of a geometry, each a list of rings."""
+    return F.when(geometry_type == "Polygon", F.array(_as_rings(F.from_json(coordinates, _POLYGON)))).when(
+        geometry_type == "MultiPolygon", F.transform(F.from_json(coordinates, _MULTI), _as_rings)
     )
 
 
@@ -53,8 +55,9 @@ def _features(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
             F.col("feature.properties.WADMKK").alias("WADMKK"),
             F.col("feature.properties.WADMPR").alias("WADMPR"),
             F.col("feature.geometry.type").alias("geometry_type"),
-            _rings(F.col("feature.geometry.type"), F.col("feature.geometry.coordinates")).alias("rings"),
+            _parts(F.col("feature.geometry.type"), F.col("feature.geometry.coordinates")).alias("parts"),
         )
+        .withColumn("rings", F.flatten("parts"))
     )
 
 
@@ -86,24 +89,17 @@ def write_boundaries(boundaries: DataFrame, folder: str) -> None:
     boundaries.select(F.to_json(collection)).write.mode("overwrite").option("maxRecordsPerFile", 1).text(folder)
 
 
-def _ring_is_sound(ring: Column) -> Column:
-    closed = F.element_at(ring, 1) == F.element_at(ring, -1)
-    in_range = F.forall(
-        ring, lambda p: F.coalesce(p.x.between(-180, 180) & p.y.between(-90, 90), F.lit(False))
-    )
-    return F.when(F.size(ring) >= 4, closed & in_range).otherwise(F.lit(False))
-
-
 def profile_boundaries(spark: SparkSession, folder: str, pattern: str = FILES) -> DataFrame:
-    """Per file: features, geometry types, whether every ring is sound, CRS.
+    """Per file: features, geometry types, whether every geometry is valid, CRS.
 
-    Sound means closed, at least four vertices, all coordinates in range.
+    A feature without a geometry, or of another kind than polygons, is not valid; see `operators.validity`.
     """
-    sound = F.coalesce(F.forall("rings", _ring_is_sound), F.lit(False))
+    features = _features(spark, folder, pattern).withColumn("geometry", F.xxhash64("file", "position"))
     present = F.col("position").isNotNull()
-    return _features(spark, folder, pattern).groupBy("file").agg(
+    bad = geometry_problems(features.where(present)).select("geometry").distinct().withColumn("bad", F.lit(True))
+    return features.join(bad, "geometry", "left").groupBy("file").agg(
         F.count_if(present).alias("rows"),
         F.array_sort(F.collect_set("geometry_type")).alias("geometry_types"),
-        F.coalesce(F.bool_and(F.when(present, sound)), F.lit(True)).alias("all_valid"),
+        F.coalesce(F.bool_and(F.when(present, F.col("bad").isNull())), F.lit(True)).alias("all_valid"),
         F.max("crs").alias("crs"),
     )

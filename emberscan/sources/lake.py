@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import storage
@@ -59,13 +59,18 @@ def write_plain(df: DataFrame, path: str) -> None:
 # --- landing ---------------------------------------------------------------
 
 
+def landing_day(df: DataFrame) -> Column:
+    """The day a row lands under; null for an undated row."""
+    return lenient_date(df, "acq_date")
+
+
 def split_by_day(df: DataFrame, root: str, kind: str, table: str) -> int:
     """Land a source table as year/month/day partitions.
 
     Dates are coerced; rows without one belong to no day and are not written.
     Returns how many those were, counted while writing.
     """
-    dated = df.withColumn("acq_date", lenient_date(df, "acq_date"))
+    dated = df.withColumn("acq_date", landing_day(df))
     seen = Observation()
     kept = (
         dated.observe(

@@ -45,6 +45,16 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"cannot write {path}")
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that must not be there yet, visible once it is whole."""
+    draft = f"{path}.{uuid.uuid4().hex}.tmp"
+    write_text(spark, draft, text)
+    if exists(spark, path):
+        delete(spark, draft)
+        raise FileExistsError(path)
+    move(spark, draft, path)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file's content."""
     fs, target = _at(spark, path)

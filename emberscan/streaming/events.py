@@ -60,12 +60,9 @@ def decode(messages: DataFrame) -> DataFrame:
     fields or impossible dates, so those are tested here.
     """
     text = F.col("value").cast("string")
-    parsed = messages.select(
-        text.alias("value"),
-        F.from_json(
-            text, _MESSAGE, {"columnNameOfCorruptRecord": _CORRUPT}
-        ).alias("event"),
-    )
+    event = F.from_json(text, _MESSAGE, {"columnNameOfCorruptRecord": _CORRUPT})
+    # A generator, through which nothing is pushed: else every use of a field would parse the message again.
+    parsed = messages.select(text.alias("value"), F.inline(F.array(F.struct(event.alias("event")))))
     event = F.col("event")
     missing = F.lit(False)
     for field in (name for name in EVENT.names if name not in OPTIONAL):

@@ -1,23 +1,29 @@
-"""Streaming jobs: messages to raw rows, raw rows to enriched rows.
+"""Streaming jobs: messages to raw rows, raw rows to enriched rows and to the latest copies.
 
-Both are stateless. The raw table and the dead letters are file sinks with a
-checkpoint each, exactly once by the sink's own log. Enrichment appends through
+Sinks: rows and dead letters as two file sinks with a checkpoint each, exactly once by the sink's own
+log; or both in one pass (`start_outcome_sink`), batch by batch, with a ledger. Enrichment appends through
 `foreachBatch`; a repeated batch stands in the table's ledger, or finds its rows present, and adds nothing.
+Keeping the latest copy of each event is stateful, bounded by a watermark.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import storage
-from ..operators.incremental import append_unseen
+from ..operators.guards import broadcast_if_small
+from ..operators.incremental import append_unseen, upsert
+from ..operators.ledger import BatchLedger
 from ..operators.region import attach_regency
 from ..operators.spatial import Grid
 from ..schemas import STREAM_ENRICHED, STREAM_RAW
+from ..session import saved_copy
+from ..sources import lake
 from . import events
 
 
@@ -73,6 +79,83 @@ def start_dead_letter_sink(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def start_outcome_sink(
+    spark: SparkSession, messages: DataFrame, raw_path: str, dead_path: str, checkpoint: str, available_now: bool = True
+) -> StreamingQuery:
+    """Rows and dead letters in one pass: a micro-batch is read and parsed once and both go in under its name.
+
+    Each batch has a folder of its own in both places, so a batch run again replaces what it left; it counts
+    once the ledger holds it (`committed_rows`, `committed_letters`), with how many messages went where.
+    """
+    ledger = BatchLedger(spark, raw_path)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        name = batch_name(spark, checkpoint, batch_id)
+        if ledger.holds(name):
+            return
+        seen = Observation()
+        decoded = events.decode(batch).observe(
+            seen, F.count(F.lit(1)).alias("sent"), F.count_if(F.col("problem").isNotNull()).alias("dead")
+        )
+        with saved_copy(decoded, "decoded") as saved:
+            rows = events.to_stream_rows(events.usable_events(saved))
+            target = f"{raw_path}/batch={name}"
+            lake.write_partitioned(rows, target, ["acquisition_date"])
+            events.dead_letters(saved).write.mode("overwrite").json(f"{dead_path}/batch={name}")
+        days = {path.rsplit("=", 1)[1] for path in storage.glob(spark, f"{target}/acquisition_date=*")}
+        ledger.enter(name, days, seen.get["sent"] - seen.get["dead"], seen.get["dead"])
+
+    writer = messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def _committed(table: DataFrame, spark: SparkSession, raw_path: str) -> DataFrame:
+    taken = BatchLedger(spark, raw_path).entries().select("batch")
+    return table.join(broadcast_if_small(taken), "batch", "left_semi").drop("batch")
+
+
+def committed_rows(spark: SparkSession, raw_path: str) -> DataFrame:
+    """Rows of the batches that the outcome sink has finished."""
+    schema = T.StructType([*STREAM_RAW.fields, T.StructField("batch", T.StringType())])
+    return _committed(spark.read.schema(schema).parquet(raw_path), spark, raw_path).select(*STREAM_RAW.names)
+
+
+def committed_letters(spark: SparkSession, raw_path: str, dead_path: str) -> DataFrame:
+    """Dead letters (value, problem) of the same batches."""
+    return _committed(spark.read.schema("value string, problem string, batch string").json(dead_path), spark, raw_path)
+
+
+def latest_rows(rows: DataFrame, late_after: str) -> DataFrame:
+    """A running table of the latest copy of each event, by staging's order; state per event.
+
+    All copies of an event bear its detection time, which is part of its id. Once the newest detection seen is
+    `late_after` past an event's, its state goes and later copies of it are dropped: the latest so far stands.
+    """
+    rank = [*(F.col(c) for c in ("acquisition_date", "acquisition_time", "ingested_timestamp", "published_timestamp")), F.xxhash64(*rows.columns)]
+    named = [c.alias(f"_{n}") for n, c in enumerate(rank)]
+    held = F.max(F.struct(*named, F.struct(*rows.columns).alias("row"))).alias("latest")
+    watched = rows.withWatermark("detection_timestamp", late_after)
+    return watched.groupBy("event_id", "detection_timestamp").agg(held).select("latest.row.*")
+
+
+def start_latest(
+    spark: SparkSession, raw_path: str, latest_path: str, checkpoint: str, late_after: str = "2 days",
+    files_per_trigger: int | None = None, available_now: bool = True,
+) -> StreamingQuery:
+    """Keep a table of the latest copy of each event: every micro-batch upserts the events it changed."""
+
+    def handle(batch: DataFrame, _batch_id: int) -> None:
+        # State is recovered with the batch, so a batch run again brings the same rows.
+        upsert(batch.sparkSession, latest_path, batch, "event_id", "acquisition_date", key_pins_partition=True)
+
+    reader = spark.readStream.schema(STREAM_RAW)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    changed = latest_rows(reader.parquet(raw_path).select(*STREAM_RAW.names), late_after)
+    writer = changed.writeStream.outputMode("update").foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def enrich_rows(rows: DataFrame, index: DataFrame, grid: Grid, on_multiple: str = "first") -> DataFrame:
     """Stream rows with their regency; rows without usable coordinates are left out."""
     return attach_regency(rows, index, grid, on_multiple).select(*STREAM_ENRICHED.names)

@@ -6,6 +6,8 @@ from emberscan.operators import quality
 from emberscan.operators.quality import QualityError, Rules
 from emberscan.plans.declared_checks import DECLARED
 
+from .plans import explained
+
 
 def frame(spark):
     return spark.createDataFrame(
@@ -33,6 +35,22 @@ def test_report(spark):
     }
 
 
+def test_a_report_reads_its_table_twice_at_most(spark, folder):
+    frame(spark).write.parquet(f"{folder}/t")
+    rules = Rules(
+        not_null=("k",), unique=("k", "code"), accepted={"n": (1, 3)},
+        relationships={"k": ("parent", "id"), "code": ("parent", "id")},
+    )
+    table, parent = spark.read.parquet(f"{folder}/t"), spark.createDataFrame([("a",)], "id string")
+    found = quality.report(table, rules, {"parent": parent})
+    assert as_dict(found) == {
+        "row_count": (True, 0), "not_null:k": (False, 1), "accepted:n": (True, 0), "unique:k": (False, 1),
+        "unique:code": (True, 0), "relationship:k": (True, 0), "relationship:code": (False, 2),
+    }
+    # One scan counted the combinations of keys; what is left in the plan is the one for uniqueness.
+    assert explained(found, "formatted").count(f"{folder}/t") == 1
+
+
 def test_empty_table_skips_the_rest(spark):
     rules = Rules(not_null=("k",))
     assert as_dict(quality.check_columns(frame(spark).where("false"), rules)) == {

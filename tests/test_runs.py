@@ -3,10 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from emberscan import adapter
-from emberscan.operators.quality import QualityError
+from emberscan import adapter, storage
+from emberscan.operators.quality import QualityError, Rules
 from emberscan.operators.region import region_index
 from emberscan.plans import runs
+from emberscan.plans.release import Release
 from emberscan.sources import files, lake
 from emberscan.streaming import events, jobs
 
@@ -63,7 +64,52 @@ def test_reloading_a_day_changes_nothing(spark, house):
     warehouse, lake_root, index, grid, batch_rows, _ = house
     report = runs.run_batch(spark, warehouse, lake_root, DAYS[0], index, grid, version_mode="string")
     assert report.batch_exists and not report.stream_exists
-    assert spark.read.parquet(warehouse.path(runs.RAW, "raw_detections")).count() == batch_rows
+    assert runs.raw_table(spark, warehouse, "raw_detections").read().count() == batch_rows
+
+
+def test_a_corrected_day_clears_its_rejects(spark, house):
+    warehouse, *_ = house
+    rejects = runs.raw_table(spark, warehouse, "rejected_detections")
+    bad = spark.sql("select 'x' as latitude, 'INVALID_COORDINATE' as reject_reason")
+    rejects.replace_part(bad, DAYS[0])
+    assert rejects.read().count() == 1
+    rejects.replace_part(bad.where("false"), DAYS[0])
+    assert rejects.read().count() == 0
+
+
+def test_layers_are_released_together_or_not_at_all(spark, house, monkeypatch):
+    warehouse, _, _, _, batch_rows, stream_rows = house
+    release = Release(spark, f"{warehouse.root}/published")
+    assert runs.run_published(spark, warehouse) == 1
+    tables = ("int_detection_quarantine", "fct_detection", "daily_detection")
+    counts = {name: release.read(name).count() for name in tables}
+    assert counts["int_detection_quarantine"] + counts["fct_detection"] == batch_rows + stream_rows
+    with monkeypatch.context() as patched:
+        # The fact breaks a rule: nothing of the run is seen, not even tables that pass.
+        patched.setitem(runs.DECLARED, "fct_detection", Rules(accepted={"regency_id": (-5,)}))
+        with pytest.raises(QualityError, match="fct_detection"):
+            runs.run_published(spark, warehouse)
+    with monkeypatch.context() as patched:
+        # Died while publishing: some tables have a new version, but no release names it.
+        patched.setattr(storage, "create_text", dying_after(2, storage.create_text))
+        with pytest.raises(OSError):
+            runs.run_published(spark, warehouse)
+    assert release.numbers() == [1]
+    assert {name: release.read(name).count() for name in tables} == counts
+    assert runs.run_published(spark, warehouse, date=DAYS[0]) == 2
+    assert {name: release.read(name).count() for name in tables} == counts
+
+
+def dying_after(calls, real):
+    left = [calls]
+
+    def step(*given):
+        left[0] -= 1
+        if left[0] < 0:
+            raise OSError("lost")
+        return real(*given)
+
+    return step
 
 
 def test_a_failed_gate_stops_the_run(spark, house):

@@ -10,6 +10,7 @@ from emberscan import storage
 from emberscan.operators import audit, coordinates
 from emberscan.schemas import API_CSV, STREAM_RAW
 from emberscan.sources import discovery, files, geojson, lake
+from emberscan.sources.catalogue import LandingCatalogue
 
 from .plans import explained
 
@@ -70,6 +71,28 @@ def test_discovery(spark, folder):
         discovery.discover(spark, folder, day, None)
 
 
+def test_catalogue_answers_for_a_day(spark, folder, monkeypatch):
+    catalogue, day = LandingCatalogue(spark, folder), "2024-01-05"
+    with pytest.raises(discovery.MissingSource):
+        catalogue.discover(day, None)
+    catalogue.land(hotspots(spark), "archive", "t")
+    found = catalogue.discover(day, stream_table(spark, day))
+    assert found.batch_exists and found.stream_exists and found.batch_source.endswith("archive/t")
+    entry = catalogue.entries().where(f"day = '{day}'").first()
+    assert entry["rows"] == spark.read.parquet(f"{folder}/archive/t").where(f"acq_date = '{day}'").count()
+    assert all(day in name for name in entry["files"])
+    # Landed again with more, then a second table of the same day.
+    catalogue.land(hotspots(spark).union(hotspots(spark)), "archive", "t")
+    assert catalogue.entries().where(f"day = '{day}'").first()["rows"] == 2 * entry["rows"]
+    catalogue.land(hotspots(spark), "archive", "u")
+    with pytest.raises(discovery.AmbiguousSource, match="t.*u"):
+        catalogue.discover(day, None)
+    catalogue.forget("archive", "u", day)
+    assert catalogue.discover(day, None).batch_exists
+    report = {str(r["day"]): r["error"] for r in catalogue.discovered(spark.sql("select explode(array(date'2024-01-05', date'2030-01-01')) as day"), stream_table(spark, day)).collect()}
+    assert report == {day: None, "2030-01-01": "MISSING_SOURCE"}
+
+
 def test_csv_feed(spark, folder):
     path = f"{folder}/feed.csv"
     names = [f.name for f in API_CSV]

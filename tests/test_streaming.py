@@ -3,10 +3,15 @@
 import json
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
+from emberscan.operators.ledger import BatchLedger
 from emberscan.operators.spatial import build_cell_index
 from emberscan.schemas import EVENT, STREAM_ENRICHED, STREAM_RAW
 from emberscan.streaming import events, jobs
 
+from .plans import explained
 from .test_spatial import TWINS, frame
 
 EVENT_ROW = dict(
@@ -124,3 +129,76 @@ def test_repeats_can_be_dropped_in_the_stream(spark, folder):
     source = jobs.message_files(spark, f"{folder}/in")
     jobs.start_raw_sink(source, f"{folder}/raw", f"{folder}/cp", duplicates_within="1 hour").awaitTermination()
     assert spark.read.parquet(f"{folder}/raw").count() == 2
+
+
+def outcome(spark, folder):
+    return (
+        jobs.committed_rows(spark, f"{folder}/raw").count(),
+        sorted(r["problem"] for r in jobs.committed_letters(spark, f"{folder}/raw", f"{folder}/dead").collect()),
+        sum(r["rows"] + r["dead"] for r in BatchLedger(spark, f"{folder}/raw").entries().collect()),
+    )
+
+
+def run_outcomes(spark, folder, per_trigger=None):
+    source = jobs.message_files(spark, f"{folder}/in", per_trigger)
+    jobs.start_outcome_sink(spark, source, f"{folder}/raw", f"{folder}/dead", f"{folder}/cp").awaitTermination()
+    return outcome(spark, folder)
+
+
+def test_every_message_becomes_a_row_or_a_letter(spark, folder):
+    drop_messages(folder, "1.json", message(), message(), "{broken", message(acq_time=2460))
+    assert run_outcomes(spark, folder) == (2, ["INVALID_VALUE", "MALFORMED_JSON"], 4)
+    drop_messages(folder, "2.json", "{}")
+    drop_messages(folder, "3.json", message(event_id="e2"))
+    assert run_outcomes(spark, folder, 1) == (3, ["INVALID_VALUE", "MALFORMED_JSON", "MISSING_FIELD"], 6)
+    assert run_outcomes(spark, folder) == (3, ["INVALID_VALUE", "MALFORMED_JSON", "MISSING_FIELD"], 6)
+
+
+def test_a_batch_that_died_counts_once_when_it_is_done(spark, folder, monkeypatch):
+    drop_messages(folder, "1.json", message(), "{broken")
+    with monkeypatch.context() as patched:
+        patched.setattr(BatchLedger, "enter", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(Exception, match="lost"):
+            run_outcomes(spark, folder)
+    # Rows and letters stand, uncommitted: nobody sees them yet.
+    assert outcome(spark, folder) == (0, [], 0)
+    assert run_outcomes(spark, folder) == (1, ["MALFORMED_JSON"], 2)
+
+
+def test_a_message_is_parsed_once(spark):
+    rows = events.to_stream_rows(events.usable_events(decoded(spark, message())))
+    assert explained(rows, "extended").split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0].count("from_json") == 1
+
+
+def stream_frame(spark, *copies):
+    texts = [message(event_id=e, frp=frp, published_timestamp=f"2024-03-01T{at:02}:00:00.000000Z", acq_date=day) for e, frp, at, day in copies]
+    rows = events.to_stream_rows(events.usable_events(decoded(spark, *texts)), F.col("published_timestamp").cast("timestamp"))
+    return rows.select(*STREAM_RAW.names)
+
+
+def test_state_keeps_the_latest_copy(spark, folder):
+    """In any order, over any batch borders, and after a restart: what staging would keep."""
+    copies = [("a", 1.0, 3, "2024-01-05"), ("b", 2.0, 1, "2024-01-05"), ("a", 3.0, 9, "2024-01-05"), ("a", 2.0, 5, "2024-01-05"), ("b", 9.0, 2, "2024-01-05")]
+    for n, copy in enumerate(copies[:3]):
+        stream_frame(spark, copy).write.parquet(f"{folder}/raw/{n}.parquet")
+    source = f"{folder}/raw/*"
+    start = dict(late_after="2 days", files_per_trigger=1)
+
+    def run():
+        jobs.start_latest(spark, source, f"{folder}/latest", f"{folder}/cp", **start).awaitTermination()
+        return {r.event_id: r.fire_radiative_power for r in spark.read.parquet(f"{folder}/latest").collect()}
+
+    assert run() == {"a": 3.0, "b": 2.0}
+    for n, copy in enumerate(copies[3:], 3):
+        stream_frame(spark, copy).write.parquet(f"{folder}/raw/{n}.parquet")
+    assert run() == {"a": 3.0, "b": 9.0} == run()
+
+
+def test_copies_beyond_the_watermark_are_dropped(spark, folder):
+    source, start = f"{folder}/raw/*", dict(late_after="2 days")
+    found = None
+    for n, copy in enumerate([("a", 1.0, 1, "2024-01-05"), ("c", 1.0, 1, "2024-02-05"), ("d", 1.0, 1, "2024-02-05"), ("a", 7.0, 9, "2024-01-05")]):
+        stream_frame(spark, copy).write.parquet(f"{folder}/raw/{n}.parquet")
+        jobs.start_latest(spark, source, f"{folder}/latest", f"{folder}/cp", **start).awaitTermination()
+        found = {r.event_id: r.fire_radiative_power for r in spark.read.parquet(f"{folder}/latest").collect()}
+    assert found == {"a": 1.0, "c": 1.0, "d": 1.0}
