@@ -171,13 +171,13 @@ class _Saved:
 
 
 def _parts(depths: int) -> Column:
-    """The parts of a cell split so many depths down: column, row and Z-order code within it."""
-    step = 2**depths
-    code = [sum((c >> b & 1) << 2 * b | (r >> b & 1) << 2 * b + 1 for b in range(depths)) for r in range(step) for c in range(step)]
-    places = [(c, r) for r in range(step) for c in range(step)]
-    return F.array(
-        *(F.struct(F.lit(c).alias("i"), F.lit(r).alias("j"), F.lit(z).cast("bigint").alias("z")) for (c, r), z in zip(places, code))
-    )
+    """The Z-order codes, within it, of the parts of a cell split so many depths down; one row each."""
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(4**depths - 1).cast("bigint")))
+
+
+def _bits(code: str, depths: int, odd: int) -> str:
+    """Column (even bits) or row (odd bits) of a part by its code."""
+    return "(" + " | ".join(f"(shiftright({code}, {b + odd}) & {1 << b}L)" for b in range(depths)) + ")"
 
 
 def build_cell_index(
@@ -210,14 +210,16 @@ def build_cell_index(
     live = edges.withColumns({"cell": one, "col": F.lit(0).cast("bigint"), "row": F.lit(0).cast("bigint")})
     bits = edges.select("_id").distinct().withColumns({"cell": one, "parity": F.lit(0)})
     covers = bits.where("false").select("_id", "cell")
-    depth, done, step, dense = 0, [], FIRST_SPLIT, spark.range(1, 2).select(F.col("id").alias("cell"))
-    split = count > budget
+    depth, done, step, dense = 0, [], FIRST_SPLIT, None
+    split = count > budget  # the cells to split: the square itself, or the rows of `dense`
     while True:
-        marked = F.broadcast(dense) if split <= BROADCAST_ROWS else dense
-        if depth or not split:
-            kept, whole = (f.join(marked, "cell", "left_anti") if split else f for f in (live, covers))
-            done.append((depth, kept, bits, whole))
-        if not split:
+        divided, carried_on = live, covers
+        if dense is not None and split:
+            marked = F.broadcast(dense) if split <= BROADCAST_ROWS else dense
+            divided, carried_on = (f.join(marked, "cell", "left_semi") for f in (live, covers))
+            done.append((depth, live.join(marked, "cell", "left_anti"), bits, covers.join(marked, "cell", "left_anti")))
+        elif not split:
+            done.append((depth, live, bits, covers))
             break
         size, part = grid.size(depth), grid.size(depth + step)
         corner = {
@@ -225,12 +227,12 @@ def build_cell_index(
             "east": f"{west} + (col + 1) * {part!r}d", "north": f"{south} + (row + 1) * {part!r}d",
         }
         line = f"({west} + (above_col + 1) * {size!r}d)"
-        parts = live.join(marked, "cell", "left_semi").select(
+        parts = divided.select(
             "_id", *fields, F.col("cell").alias("above"), F.col("col").alias("above_col"),
-            "row", "col", F.explode(_parts(step)).alias("p"),
+            "row", "col", _parts(step).alias("z"),
         ).selectExpr(
-            "_id", *fields, "above", "above_col", f"shiftleft(above, {2 * step}) + p.z as cell",
-            f"col * {2**step} + p.i as col", f"row * {2**step} + p.j as row",
+            "_id", *fields, "above", "above_col", f"shiftleft(above, {2 * step}) + z as cell",
+            f"col * {2**step} + {_bits('z', step, 0)} as col", f"row * {2**step} + {_bits('z', step, 1)} as row",
         )
         parts = parts.selectExpr("*", *(f"{sql} as {name}" for name, sql in corner.items()))
         inside = parts.withColumn("inside", F.expr(_passes("west", "south", "east", "north")))
@@ -238,18 +240,20 @@ def build_cell_index(
         sums = inside.groupBy("_id", "above", "cell").agg(
             F.sum(F.expr(toggles)).alias("toggles"), F.bool_or("inside").alias("inside")
         )
+        # The square has no bit to pass on: every edge is inside it.
         before = bits.select("_id", F.col("cell").alias("above"), "parity")
-        placed = saved(sums.join(before, ["_id", "above"]).selectExpr("_id", "cell", "inside", "cast((parity + toggles) % 2 as int) as parity"))
-        lower = covers.join(marked, "cell", "left_semi").select("_id", F.explode(_parts(step)).alias("p"), "cell")
-        covers = lower.selectExpr("_id", f"shiftleft(cell, {2 * step}) + p.z as cell").union(
-            placed.where("not inside and parity = 1").select("_id", "cell")
-        )
-        covers = saved(covers) if depth else covers
+        known = sums.join(before, ["_id", "above"]) if depth else sums.withColumn("parity", F.lit(0))
+        placed = saved(known.selectExpr("_id", "cell", "inside", "cast((parity + toggles) % 2 as int) as parity"))
+        fresh = placed.where("not inside and parity = 1").select("_id", "cell")
+        if depth:
+            lower = carried_on.select("_id", _parts(step).alias("z"), "cell")
+            fresh = saved(lower.selectExpr("_id", f"shiftleft(cell, {2 * step}) + z as cell").union(fresh))
+        covers = fresh
         live = saved(inside.where("inside").select("_id", *fields, "cell", "col", "row"))
         bits, depth, step = placed.where("inside").select("_id", "cell", "parity"), depth + step, SPLIT
-        if split := depth + step <= MAX_DEPTH:
-            dense = saved(live.groupBy("cell").count().where(F.col("count") > budget).select("cell"))
-            split = dense.count()
+        dense = live.groupBy("cell").count().where(F.col("count") > budget).select("cell")
+        split = dense.count() if depth + step <= MAX_DEPTH else 0
+        dense = saved(dense) if split else dense
     leaves = None
     for depth, kept, parity, whole in done:
         size = grid.size(depth)
