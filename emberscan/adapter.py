@@ -51,8 +51,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw detections, one per event."""
-    return table(spark, sf_dir, "events").selectExpr(*[f"{sql} as {name}" for name, sql in DETECTION_SQL.items()])
+    """Raw detections, one per event, dealt evenly over tasks whatever the layout of the file."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    events = table(spark, sf_dir, "events").drop("props").repartition(tasks, "event_id")
+    return events.selectExpr(*[f"{sql} as {name}" for name, sql in DETECTION_SQL.items()])
 
 
 def regencies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from .. import storage
 from ..session import scratch_path
 
-BUCKETS = 32  # more for tables of many billions of keys
+BUCKETS = 16  # more for tables of many billions of keys
 
 
 class KeyDirectory:
@@ -58,15 +58,15 @@ class KeyDirectory:
         return self.spark.read.schema(self.schema).parquet(*paths)
 
     def found(self, rows: DataFrame) -> DataFrame:
-        """The pairs on record for the keys of some rows."""
+        """The pairs on record for the keys of some rows; a pair recorded twice comes twice."""
         asked = self._pairs(rows).select(self.key, "_bucket")
         # At most `buckets` numbers reach the driver.
         numbers = [row[0] for row in asked.select("_bucket").distinct().collect()]
-        return self.bucket(numbers).join(asked.select(self.key).distinct(), self.key, "left_semi").distinct()
+        return self.bucket(numbers).join(asked.select(self.key), self.key, "left_semi")
 
     def record(self, rows: DataFrame, known: DataFrame | None = None) -> None:
-        """Add the pairs of some rows that are not among `known`."""
-        pairs = self._pairs(rows).distinct()
+        """Add the pairs of some rows that are not among `known`. Repeats do no harm."""
+        pairs = self._pairs(rows)
         if known is not None:
             same = [pairs[self.key] == known[self.key], pairs[self.partition].eqNullSafe(known[self.partition])]
             pairs = pairs.join(known, same, "left_anti")
