@@ -340,7 +340,7 @@ select r.event_id, boundary_id, province_name from raw r left join h using (even
         f" {centre.format('longitude')} as longitude from raw group by acq_date, confidence), "
         + _hit("ctr", "k", "found")
         + " select cast(acq_date as varchar) as acq_date, confidence, latitude, longitude,"
-        " case when n_nationkey%2=1 then n_name else 'Kota '||n_name end as \"WADMKK\","
+        " " + adapter.BOUNDARY_NAME_SQL + ' as "WADMKK",'
         " cast(n_regionkey as varchar) as \"WADMPR\" from ctr join found using (k) join nation on n_nationkey=regency_id"
     )
     out["geojson_boundaries"] = (
