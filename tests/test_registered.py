@@ -43,3 +43,11 @@ def test_flagship_plan(spark):
 def test_scan_reads_only_needed_columns(spark):
     plan = explained(entry.queries()["density_grid"](spark, SMALL), "formatted")
     assert "ReadSchema: struct<event_id:bigint>" in plan
+
+
+def test_coordinates_beside_the_equator_are_written_as_the_publishers_do(spark, folder):
+    row = ("event_id", "timestamp'2024-01-01 00:00:00' as ts", "1L as user_id", "'click' as event_type", "1d as value", "'' as props")
+    ids = spark.createDataFrame([(192679,), (267321,), (7,)], "event_id bigint")
+    ids.selectExpr(*row).write.parquet(f"{folder}/events.parquet")
+    found = entry.queries()["invalid_coordinates"](spark, folder).collect()
+    assert {r["event_id"]: r["latitude"] for r in found} == {192679: "0.0009999999999994458", 267321: "-0.0009999999999994458", 7: repr(-10 + 10433 / 1000)}
