@@ -236,3 +236,9 @@ def test_one_hot_cell_keeps_every_row(spark):
     got = located(spark, TWINS, spots, 4, strategy="shuffle", hot_rows=100, on_multiple="first")
     assert len(got) == len(spots)
     assert all(k == 1 for i, k in got if i < 600)
+
+
+def test_a_filter_on_the_region_tests_the_edges_once(spark):
+    index, grid = build_cell_index(frame(spark, TWINS), ["regency_id"])
+    found = locate_points(points(spark, [(1, 1)]), index, grid, on_multiple="first").where("coalesce(regency_id, -1) <> 3")
+    assert explained(found, "extended").split("== Physical Plan ==")[1].count("aggregate(") == 1
