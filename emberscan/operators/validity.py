@@ -3,7 +3,8 @@
 Edges are brought to quadtree cells that hold few of them, so every pair of edges that meet
 is found within one cell, and a cell tests a bounded number of pairs. That settles crossings.
 Where the rings of a geometry do not cross, it is left to say which contains which: a point
-on every edge of a geometry with several rings is located among the rings, through the same index.
+on every edge is located among the rings, in the cell that holds the edge. Each geometry has cells of its own, so that
+many in one place do not crowd each other's; nothing is broadcast for it, and no point travels.
 
 Problems, in the order of their names in `PROBLEMS`:
 
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise, saved_copy
-from .spatial import EDGES_PER_CELL, build_cell_index, locate_points
+from .spatial import EDGES_PER_CELL, Grid, build_cell_index, points_in_their_cell
 
 PROBLEMS = (
     "NO_RING", "OPEN_RING", "FEW_VERTICES", "OUT_OF_RANGE", "CROSSING", "SELF_TOUCH",
@@ -91,28 +92,35 @@ def _meeting(a: str, b: str) -> str:
           and not {neighbours} then 'SELF_TOUCH' end"""
 
 
-def crossings(geometries: DataFrame, edges: DataFrame, budget: int = EDGES_PER_CELL) -> DataFrame:
+def _cells(rings: DataFrame, edges: DataFrame, budget: int) -> tuple[DataFrame, Grid]:
+    """Cells of few edges, each of one geometry, whose rings are the candidates."""
+    ring = F.struct("geometry", "part", "ring").alias("ring_id")
+    # The edges name their ring twice: once for the index, once for the tests within a cell.
+    return build_cell_index(
+        rings.select(ring, "geometry", "part", "ring"), ["geometry", "part", "ring"], "ring_id", budget,
+        edges=edges.select("*", ring), within="geometry",
+    )
+
+
+def crossings(index: DataFrame) -> DataFrame:
     """geometry, problem: crossings and self-touches, found cell by cell."""
-    index, _ = build_cell_index(geometries, ["geometry"], "geometry", budget, edges=edges)
-    cells = index.selectExpr("inline(candidates)").select("payload.geometry", "edges")
     found = f"""array_distinct(flatten(transform(edges, a -> transform(
         filter(edges, b -> (a.part, a.ring, a.at) < (b.part, b.ring, b.at)), b -> {_meeting('a', 'b')}))))"""
+    cells = index.selectExpr("geometry", "flatten(candidates.edges) as edges")
     return cells.select("geometry", F.explode(F.expr(found)).alias("problem")).where("problem is not null").distinct()
 
 
-def nesting(rings: DataFrame, edges: DataFrame, budget: int = EDGES_PER_CELL) -> DataFrame:
-    """geometry, problem: holes and parts that are not where they should be, of geometries with several rings."""
-    several = rings.groupBy("geometry").count().where("count > 1").select("geometry")
-    named = rings.join(several, "geometry").withColumn("ring_id", F.xxhash64("geometry", "part", "ring"))
-    index, grid = build_cell_index(
-        named.select("ring_id", "geometry", "part", "ring", F.array("vertices").alias("rings")),
-        ["geometry", "part", "ring"], "ring_id", budget,
-    )
-    points = edges.join(several, "geometry").selectExpr(
-        "geometry", "part", "ring", f"x1 + (x2 - x1) * {_SAMPLE}d as longitude", f"y1 + (y2 - y1) * {_SAMPLE}d as latitude"
+def nesting(index: DataFrame, grid: Grid) -> DataFrame:
+    """geometry, problem: holes and parts that are not where they should be.
+
+    The point of an edge lies in a cell that holds the edge, so that cell's row tells which other rings hold it.
+    """
+    points = index.select("*", F.explode(F.expr("flatten(candidates.edges)")).alias("e")).selectExpr(
+        "*", "e.part", "e.ring",
+        f"e.x1 + (e.x2 - e.x1) * {_SAMPLE}d as longitude", f"e.y1 + (e.y2 - e.y1) * {_SAMPLE}d as latitude",
     )
-    located = locate_points(points, index, grid, on_multiple="list").withColumn(
-        "own", F.expr("filter(matches, m -> m.geometry = geometry and not (m.part = part and m.ring = ring))")
+    located = points_in_their_cell(points, grid).withColumn(
+        "own", F.expr("filter(matches, m -> not (m.part = part and m.ring = ring))")
     )
     mine = "filter(own, m -> m.part = part)"
     others = "filter(own, m -> m.part <> part and m.ring = 0)"
@@ -138,7 +146,8 @@ def geometry_problems(geometries: DataFrame, budget: int = EDGES_PER_CELL) -> Da
             "geometry", F.when(F.col("vertices").isNull(), "NO_RING").otherwise(ring_problem(F.col("vertices"))).alias("problem")
         ).where("problem is not null").distinct()
         sound = saved.join(alone.select("geometry").distinct(), "geometry", "left_anti")
-        with saved_copy(_rings(sound), "rings") as whole, saved_copy(_edges(whole), "edges") as edges:
-            found = alone.union(crossings(sound, edges, budget)).union(nesting(whole, edges, budget))
+        with saved_copy(_rings(sound), "rings") as whole:
+            index, grid = _cells(whole, _edges(whole), budget)
+            found = alone.union(crossings(index)).union(nesting(index, grid))
             # The rows themselves, so that the copies may go; at most nine a geometry, and none for sound ones.
             return materialise(found.distinct(), "problems")

@@ -128,3 +128,15 @@ def test_a_long_ring_is_tested_cell_by_cell(spark):
 def test_no_pair_join(spark):
     plan = explained(validity.geometry_problems(adapter.supplier_geometries(spark, SMALL)))
     assert "CartesianProduct" not in plan and "Python" not in plan
+
+
+def test_geometries_in_one_place_do_not_crowd_each_other(spark):
+    """Forty squares on the same spot, each with a hole: no shared side is split, and nothing is broadcast."""
+    square, hole = adapter.GEOMETRIES[2][0][0]
+    shapes = {i: [[square, hole]] for i in range(40)} | {40: adapter.GEOMETRIES[7][0]}
+    assert problems(spark, shapes, budget=10) == {i: set() for i in range(40)} | {40: {"OVERLAPPING_PARTS"}}
+    rows = spark.createDataFrame([(i, [[[tuple(map(float, p)) for p in r] for r in part] for part in parts]) for i, parts in shapes.items()], SCHEMA)
+    rings = validity._rings(rows)
+    index, grid = validity._cells(rings, validity._edges(rings), 10)
+    assert grid.depths == (0,) and index.count() == 41
+    assert "Broadcast" not in explained(validity.nesting(index, grid))
