@@ -202,3 +202,11 @@ def test_copies_beyond_the_watermark_are_dropped(spark, folder):
         jobs.start_latest(spark, source, f"{folder}/latest", f"{folder}/cp", **start).awaitTermination()
         found = {r.event_id: r.fire_radiative_power for r in spark.read.parquet(f"{folder}/latest").collect()}
     assert found == {"a": 1.0, "c": 1.0, "d": 1.0}
+
+
+def test_state_of_the_latest_copies_lies_on_disk(spark, folder):
+    """A state held in the heap would bound how many events there may be."""
+    stream_frame(spark, ("a", 1.0, 3, "2024-01-05")).write.parquet(f"{folder}/raw")
+    jobs.start_latest(spark, f"{folder}/raw", f"{folder}/latest", f"{folder}/cp", late_after="60 days").awaitTermination()
+    with open(f"{folder}/cp/offsets/0") as log:
+        assert "RocksDBStateStoreProvider" in log.read()
