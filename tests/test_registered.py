@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from emberscan.showcase import queries
 from emberscan.showcase.queries import REGISTRY
 
 from .compare import connect, difference
@@ -51,3 +52,12 @@ def test_coordinates_beside_the_equator_are_written_as_the_publishers_do(spark,
     ids.selectExpr(*row).write.parquet(f"{folder}/events.parquet")
     found = entry.queries()["invalid_coordinates"](spark, folder).collect()
     assert {r["event_id"]: r["latitude"] for r in found} == {192679: "0.0009999999999994458", 267321: "-0.0009999999999994458", 7: repr(-10 + 10433 / 1000)}
+
+
+def test_declared_checks_locate_the_batch_feed_once(spark, monkeypatch):
+    """The batch feed, that is; the stream is located by its own job."""
+    made = []
+    attach = queries.attach_regency
+    monkeypatch.setattr(queries, "attach_regency", lambda *given, **options: made.append(1) or attach(*given, **options))
+    entry.queries()["quality_declared"](spark, SMALL)
+    assert len(made) == 1
