@@ -22,7 +22,7 @@ from __future__ import annotations
 import base64
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -30,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import keep
+from .shared import keep, sliced
 
 CAPACITY = 1024
 END_ID = 2
 BUCKET_ROWS = 50_000  # pieces numbered by one window group, on average
-CACHE_WORDS = 400_000  # different words whose ids a Python worker remembers
+PIECES_AT_ONCE = 500  # pieces that a Python worker gathers before it sends them on
+CACHE_WORDS = 150_000  # different words whose ids a Python worker remembers
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Fixed value: the vocabulary's only added token, which texts may spell out.
 ADDED_TOKENS = {"<|endoftext|>": 50256}
@@ -114,12 +115,20 @@ def pieces(
 
     `row` tells repeated documents apart: it is unique per input row of one run.
     """
-    path = vocabulary or vocabulary_path()
+    slim = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    return slim.mapInArrow(
+        cutter(vocabulary or vocabulary_path(), capacity, end_id),
+        "doc_id long, row long, piece int, start long, length long, ids binary",
+    )
+
+
+def cutter(path: str, capacity: int, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What a task does: (doc_id, row, text) to pieces, a few texts and a few pieces at a time."""
     ending = array("I", [end_id]).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.of(path)
-        for batch in batches:
+        for batch in sliced(batches):
             out: list[tuple] = []
             for doc, row, text in zip(*(column.to_pylist() for column in batch.columns)):
                 ids = encoder.encode(text or "") + ending
@@ -128,7 +137,7 @@ def pieces(
                     to = at + ((total - at) % capacity or capacity) if at == 0 else at + capacity
                     out.append((doc, row, number, at, to - at, ids[4 * at : 4 * to]))
                     at, number = to, number + 1
-                if len(out) > 2000:
+                if len(out) > PIECES_AT_ONCE:
                     yield _batch(out)
                     out = []
             if out:
@@ -139,8 +148,7 @@ def pieces(
         names = ("doc_id", "row", "piece", "start", "length", "ids")
         return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=list(names))
 
-    slim = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
-    return slim.mapInArrow(cut, "doc_id long, row long, piece int, start long, length long, ids binary")
+    return cut
 
 
 # --- the plan ------------------------------------------------------------------
@@ -215,6 +223,8 @@ def take_length(each: int, length: int) -> int:
     return each * length
 
 
+SLOT = ("length", "first_rank", "bins", "each", "first_sequence", "first_offset", "last_rank")
+
 # --- placing --------------------------------------------------------------------
 
 
@@ -239,10 +249,9 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Every piece with sequence_id and offset. `cut` is read several times: pass a saved frame."""
     spark = cut.sparkSession
     histogram = {row["length"]: row["n"] for row in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    slots = spark.createDataFrame(
-        plan(histogram, capacity),
-        "length long, first_rank long, bins long, each long, first_sequence long, first_offset long, last_rank long",
-    )
+    # As an Arrow table: rows in a list would be read by Python workers of their own on the executors.
+    columns = zip(*plan(histogram, capacity)) if histogram else [()] * len(SLOT)
+    slots = spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in columns], names=list(SLOT)))
     at = F.col("rank") - F.col("first_rank")
     found = ranked(cut).join(
         F.broadcast(slots.withColumnRenamed("length", "_length")),

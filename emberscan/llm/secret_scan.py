@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import sliced
+
 KINDS = ("assign", "access", "hex", "literal")
 LEAST_SCORE = 0.6
 
@@ -242,7 +244,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id and `spans` (start, end, kind) of every row."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [
                 [dict(zip(("start", "end", "kind"), span)) for span in spans_of(text)] for text in batch.column(1).to_pylist()
             ]
@@ -256,7 +258,7 @@ def redact(docs: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [t and redacted(t, spans_of(t)) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
 WORD = r"[^\x20\x09-\x0D]+"
+SLICE_ROWS = 256  # texts that a Python worker holds as objects at a time
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -24,6 +28,13 @@ def keep(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches: a worker keeps the memory it once took, for every stage after."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(text, UPPER, LOWER)

@@ -1,11 +1,13 @@
 """Packing, token counts and mixing against brute force."""
 
 import random
+import tracemalloc
 import zlib
 from array import array
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,6 +16,7 @@ from tokenizers import Tokenizer
 from emberscan.llm import mixing, packing, queries, token_counts
 
 from ..conftest import SMALL
+from ..plans import explained
 from .tables import documents, odd_documents
 
 
@@ -116,6 +119,28 @@ def test_packing_odd_rows(spark, folder, plain_encode):
     assert packing.pack(odd_documents(spark, [])).count() == 0
 
 
+def test_a_worker_holds_few_texts_at_once(spark):
+    """However many rows a batch has: what a worker once took it keeps, beside the JVM, for every later stage."""
+    rows = 10_000
+    text = "some words of a text " * 100
+    batch = pa.record_batch(
+        [pa.array(range(rows)), pa.array(range(rows)), pa.array([text] * rows)], names=["doc_id", "row", "text"]
+    )
+    cut = packing.cutter(packing.vocabulary_path(), 1024, 2)
+    list(cut(iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    pieces = sum(made.num_rows for made in cut(iter([batch])))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert pieces >= rows and peak < 4e6
+
+
+def test_the_plan_needs_no_python_workers(spark):
+    cut = packing.pieces(odd_documents(spark, [(1, "a"), (2, "b c")]))
+    placed = packing.place(cut.drop("ids").localCheckpoint())
+    assert "Scan ExistingRDD" not in explained(placed).replace("Scan ExistingRDD[doc_id", "")
+
+
 def test_assembled_sequences(spark):
     packed = packing.pack(odd_documents(spark, [(i, "some words " * (i * 40)) for i in range(30)]))
     made = packing.assemble(packed).collect()
