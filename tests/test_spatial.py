@@ -203,6 +203,21 @@ def regencies(spark, names):
     return spark.createDataFrame([(i, 9, n) for i, n in names], "regency_id bigint, province_id bigint, regency_name string")
 
 
+def test_regions_get_small_cells(spark):
+    """A point tests at most eight edges, and gets the region it gets with the larger cells."""
+    coast = [(k / 10, (k % 2) / 10) for k in range(40)] + [(3.9, 3.0), (0.0, 3.0)]
+    shapes = frame(spark, {1: [coast], 2: [square(5, 0, 3)]}).drop("regency_id").withColumn(
+        "regency_key", F.when(F.col("boundary_id") == 1, "A").otherwise("KOTA_A")
+    )
+    known = regencies(spark, [(3, "Kabupaten A"), (4, "Kota A")])
+    spots = points(spark, [(x / 7, y / 7) for x in range(60) for y in range(-2, 25)])
+    index, grid = region_index(shapes, known)
+    held = index.select(F.expr("aggregate(transform(candidates, c -> size(c.edges)), 0, (a, n) -> a + n)").alias("n"))
+    assert held.agg(F.max("n")).first()[0] <= 8
+    coarse = attach_regency(spots, *region_index(shapes, known, budget=32))
+    assert set(attach_regency(spots, index, grid).collect()) == set(coarse.collect())
+
+
 def test_lookup_by_name_key(spark):
     index, grid = region_index(boundaries(spark), regencies(spark, [(10, "KABUPATEN BOGOR"), (20, "KOTA BOGOR")]))
     raw = points(spark, [(1, 1), (3, 1), (2, 1), (50, 50)])
