@@ -121,6 +121,16 @@ def test_union_may_prefer_batch(spark):
     assert [r.ingestion_source for r in staging.stage_union(batch, stream, prefer_batch=True).collect()] == ["batch"]
 
 
+def test_ids_of_the_batch_need_no_location(spark):
+    points = raw(spark)
+    given = staging.batch_ids(points)
+    batch = staging.stage_batch(points)
+    assert given.collect() == batch.select("detection_id").collect()
+    stream = staging.stage_stream(stream_row(spark, event_id=batch.first().detection_id))
+    got = staging.stage_union(batch, stream, prefer_batch=True, batch_ids=given.union(given))
+    assert [r.ingestion_source for r in got.collect()] == ["batch"]
+
+
 def places(spark):
     return spark.createDataFrame(
         [(7, "KOTA A", 1, "P")], "regency_id bigint, regency_name string, province_id bigint, province_name string"
