@@ -204,6 +204,22 @@ def test_a_batch_is_taken_in_once(spark, folder, monkeypatch):
     assert {(r.batch, tuple(r.days), r.rows) for r in entries.collect()} == {("x/1", ("2024-01-01",), 0), ("x/2", ("2024-01-02",), 1)}
 
 
+def test_append_unseen_writes_rows_once(spark, folder, monkeypatch):
+    """Saved rows go straight into the table, counted on the way: no copy of them, nor of what they become."""
+    copies = []
+    real = incremental.saved_copy
+    monkeypatch.setattr(incremental, "saved_copy", lambda df, label: copies.append(label) or real(df, label))
+    path = f"{folder}/t"
+    first = rows(spark, ("a", 1, "2024-01-01"), ("b", 1, "2024-01-02"), ("b", 2, "2024-01-02"))
+    assert incremental.append_unseen(spark, path, first, "detection_id", saved=True) == 3
+    more = first.unionByName(rows(spark, ("c", 1, "2024-01-02")))
+    assert incremental.append_unseen(spark, path, more, "detection_id", saved=True) == 1
+    assert copies == []
+    assert incremental.append_unseen(spark, path, more, "detection_id") == 0
+    assert copies == ["batch"]
+    assert spark.read.parquet(path).count() == 4
+
+
 def test_unseen_rows_without_a_broadcast(spark, monkeypatch):
     incoming = rows(spark, ("a", 1, "2024-01-01"), ("c", 1, "2024-01-01"), (None, 1, "2024-01-01"))
     target = rows(spark, ("a", 1, "2024-01-01"))
